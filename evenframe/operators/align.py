@@ -1,0 +1,119 @@
+"""Bring two frames to one column list before they are compared."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from evenframe.functions.columns import actual_name, named
+
+STRUCTURE_ERROR = "File Structure error"
+
+
+class StructureError(ValueError):
+    """The two sides cannot be lined up column by column."""
+
+
+class Aligned(NamedTuple):
+    expected: DataFrame
+    actual: DataFrame
+    columns: list[str]  # names to show, in order; the frames carry c0, c1, ...
+    notes: list[str]  # type changes made on the way
+
+
+def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fixed column order; names are matched without case, kept as asked for."""
+    try:
+        return df.select(*[named(actual_name(df, c)).alias(c) for c in columns])
+    except ValueError as missing:
+        raise StructureError(str(missing)) from missing
+
+
+def align(
+    expected: DataFrame,
+    actual: DataFrame,
+    columns: Sequence[str] | None = None,
+    by: str = "position",
+    decimals: int | None = None,
+) -> Aligned:
+    """Line up both sides, by position or by name.
+
+    ``columns`` projects both sides to that list first. ``decimals`` rounds
+    floating point columns on both sides. Sides that disagree on the type of a
+    column meet at a common numeric or time type, otherwise at text.
+    """
+    if by not in ("position", "name"):
+        raise ValueError(f"by must be 'position' or 'name', not {by!r}")
+    if columns is not None:
+        expected, actual = project(expected, columns), project(actual, columns)
+    elif by == "name":
+        _require_equal_names(expected, actual)
+        actual = project(actual, expected.columns)
+    if len(expected.columns) != len(actual.columns):
+        raise StructureError(_difference(expected.columns, actual.columns))
+
+    shown = list(expected.columns)
+    internal = [f"c{i}" for i in range(len(shown))]
+    expected, actual = expected.toDF(*internal), actual.toDF(*internal)
+    left, right, notes = [], [], []
+    for name, shown_name, e, a in zip(
+        internal, shown, expected.schema.fields, actual.schema.fields
+    ):
+        target = _common_type(e.dataType, a.dataType)
+        if e.dataType != a.dataType:
+            meeting = target.simpleString() if target else "wider type"
+            notes.append(
+                f"{shown_name}: {e.dataType.simpleString()} and "
+                f"{a.dataType.simpleString()} compared as {meeting}"
+            )
+        left.append(_fit(F.col(name), e.dataType, target, decimals).alias(name))
+        right.append(_fit(F.col(name), a.dataType, target, decimals).alias(name))
+    return Aligned(expected.select(*left), actual.select(*right), shown, notes)
+
+
+def _require_equal_names(expected: DataFrame, actual: DataFrame) -> None:
+    def names(df: DataFrame) -> list[str]:
+        return sorted(c.lower() for c in df.columns)
+
+    if names(expected) != names(actual):
+        raise StructureError(_difference(expected.columns, actual.columns))
+
+
+def _difference(expected: Sequence[str], actual: Sequence[str]) -> str:
+    have_e = {c.lower() for c in expected}
+    have_a = {c.lower() for c in actual}
+    missing = [c for c in expected if c.lower() not in have_a]
+    extra = [c for c in actual if c.lower() not in have_e]
+    return (
+        f"{len(expected)} and {len(actual)} columns, "
+        f"missing [{', '.join(missing)}], extra [{', '.join(extra)}]"
+    )
+
+
+def _common_type(e: T.DataType, a: T.DataType) -> T.DataType | None:
+    """Type both sides are cast to; None leaves it to the union."""
+    if e == a:
+        return None
+    void = T.NullType
+    if isinstance(e, void) or isinstance(a, void):
+        return None
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    for family in ((T.NumericType,), times):
+        if isinstance(e, family) and isinstance(a, family):
+            return None
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    if isinstance(e, nested) or isinstance(a, nested):
+        return None
+    return T.StringType()
+
+
+def _fit(
+    column: Column, source: T.DataType, target: T.DataType | None, decimals: int | None
+) -> Column:
+    if decimals is not None and isinstance(source, (T.FloatType, T.DoubleType)):
+        column = F.round(column, decimals)
+    return column if target is None else column.cast(target)

@@ -1,0 +1,131 @@
+"""Column profile: one row of statistics over a whole table."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from evenframe.functions import statistics as S
+from evenframe.functions.columns import actual_name, named, one_row
+from evenframe.operators import rules as R
+from evenframe.operators.latest import latest_by
+
+COLUMNS_PER_SCAN = 2
+
+
+def statistics_for(
+    dictionary: DataFrame, rules: str = "erp", side: str = "target"
+) -> list[R.Statistic]:
+    """Statistics for the dictionary rows of one table, in dictionary order.
+
+    Only the dictionary is read here: one short row per column of the table.
+    """
+    if side not in R.SIDES:
+        raise ValueError(f"side must be one of {R.SIDES}, not {side!r}")
+    found: list[R.Statistic] = []
+    if rules == "erp":
+        for row in dictionary.select("FIELDNAME", "DATATYPE", "DECIMALS").collect():
+            found += R.erp_statistics(row[0], row[1], row[2], side)
+    elif rules == "crm":
+        for row in dictionary.select("field name", "data type").collect():
+            found += R.crm_statistics(row[0], row[1], side)
+    else:
+        raise ValueError(f"rules must be 'erp' or 'crm', not {rules!r}")
+    names = [s.name.lower() for s in found]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"the dictionary states fields twice: {twice}")
+    return found
+
+
+def profile(
+    df: DataFrame,
+    dictionary: DataFrame,
+    rules: str = "erp",
+    side: str = "target",
+    change_column: str | None = None,
+    columnar: bool = False,
+) -> DataFrame:
+    """One row: row count, latest change and the statistics of every field.
+
+    Several distinct counts in one aggregate make Spark copy each row once per
+    counted column. ``columnar=True`` says that ``df`` is a plain read of a
+    columnar table, where reading two columns at a time is cheaper than that:
+    each pass then touches only its own columns. Leave it off where reading is
+    the costly part (delimited files, JDBC, frames computed before).
+    """
+    statistics = statistics_for(dictionary, rules, side)
+    changed = actual_name(df, change_column or R.CHANGE_COLUMN[rules])
+    plain = [
+        F.count(F.lit(1)).alias("TOTAL_ROW_COUNT"),
+        F.max(named(changed)).alias("MAX_MODIFICATION_DATE"),
+    ]
+    distinct: list[Column] = []
+    for statistic in statistics:
+        column = _aggregate(df, statistic).alias(statistic.name)
+        is_distinct = columnar and statistic.kind == R.COUNT_DISTINCT
+        (distinct if is_distinct else plain).append(column)
+    parts = [df.agg(*plain)]
+    for start in range(0, len(distinct), COLUMNS_PER_SCAN):
+        parts.append(df.agg(*distinct[start : start + COLUMNS_PER_SCAN]))
+    return one_row(parts).select(
+        F.lit("Profile").alias("Profile"),
+        "TOTAL_ROW_COUNT",
+        "MAX_MODIFICATION_DATE",
+        *[named(s.name) for s in statistics],
+    )
+
+
+def _aggregate(df: DataFrame, statistic: R.Statistic) -> Column:
+    field = actual_name(df, statistic.field)
+    column, data_type = named(field), df.schema[field].dataType
+    if statistic.kind == R.SUM_LEN:
+        return S.text_length(column, statistic.first)
+    if statistic.kind == R.COUNT_DISTINCT:
+        return S.distinct_count(column)
+    if statistic.flag:
+        return S.flag_sum(column, data_type)
+    if statistic.decimal:
+        return S.decimal_sum(column, data_type, *statistic.decimal)
+    return S.plain_sum(column, data_type)
+
+
+def profile_table(
+    df: DataFrame,
+    dictionary: DataFrame,
+    rules: str = "erp",
+    side: str = "target",
+    change_column: str | None = None,
+    latest_keys: Iterable[str] | None = None,
+    columnar: bool = False,
+) -> DataFrame:
+    """Profile of a table as read, or of its latest row per ``latest_keys``."""
+    changed = change_column or R.CHANGE_COLUMN[rules]
+    if latest_keys:
+        fields = [s.field for s in statistics_for(dictionary, rules, side)]
+        keys = list(latest_keys)
+        used = {actual_name(df, c): None for c in [*keys, changed, *fields]}
+        df = latest_by(df.select(*[named(c) for c in used]), keys, changed)
+        columnar = False
+    return profile(df, dictionary, rules, side, changed, columnar)
+
+
+def run_profile_sql(
+    df: DataFrame,
+    select_list: str,
+    table: str,
+    latest_key: str | None = None,
+    change_column: str = R.CHANGE_COLUMN["crm"],
+) -> DataFrame:
+    """Run a stored SELECT, written without FROM, over ``df``.
+
+    The frame is registered as ``my_<table>``. With ``latest_key`` the SELECT
+    sees only the latest row of each key.
+    """
+    view = f"my_{table}"
+    if latest_key:
+        df = latest_by(df, [latest_key], change_column)
+    df.createOrReplaceTempView("`" + view.replace("`", "``") + "`")
+    return df.sparkSession.sql(f"{select_list} FROM `{view.replace('`', '``')}`")
