@@ -569,13 +569,21 @@ def profile_sql_latest(spark: SparkSession, folder: str) -> DataFrame:
 # --- staging and checks -----------------------------------------------------
 
 
-def staged_customers(spark: SparkSession, folder: str) -> DataFrame:
+def staged_customers(
+    spark: SparkSession, folder: str, latest_only: bool = True
+) -> DataFrame:
     files = customer_files(spark, folder)
     dictionary = load_dictionary(
         spark.createDataFrame(STAGING_ROWS, STAGING_SCHEMA), "R_ACC"
     )
     header = header_frame(files.drop("filename"))
-    return ef.stage_table(files, map_header(header, dictionary))
+    return ef.stage_table(
+        files, map_header(header, dictionary), latest_only=latest_only
+    )
+
+
+def stage_table(spark: SparkSession, folder: str) -> DataFrame:
+    return staged_customers(spark, folder, latest_only=False)
 
 
 def target_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -712,10 +720,6 @@ def queries() -> dict[str, Query]:
     return {query.__name__: query for query in found}
 
 
-def stage_table(spark: SparkSession, folder: str) -> DataFrame:
-    return staged_customers(spark, folder)
-
-
 # --- the same results in SQL ------------------------------------------------
 
 

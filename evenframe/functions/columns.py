@@ -25,6 +25,10 @@ def actual_name(df: DataFrame, name: str) -> str:
     raise ValueError(f"column {name!r} not found among {df.columns}")
 
 
+def position_of(df: DataFrame, name: str) -> int:
+    return df.columns.index(actual_name(df, name))
+
+
 def orderable(data_type: T.DataType) -> bool:
     if isinstance(data_type, (T.MapType, T.VariantType)):
         return False

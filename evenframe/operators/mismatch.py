@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenframe.functions.columns import named
@@ -83,6 +83,23 @@ def mismatch_counts(sides: Aligned, keys: Sequence[str] | None = None) -> DataFr
     return row.select(F.inline(entries))
 
 
+def one_row_mismatches(sides: Aligned) -> Column:
+    """Aggregate over the tally of two one-row frames: mismatching names.
+
+    Values are wrapped, so a null counts as a value of its own. Of a frame
+    with more rows the greatest value of each column is looked at.
+    """
+
+    def value(copies: str, column: str) -> Column:
+        return F.max(F.when(F.col(copies) > 0, F.struct(column)))
+
+    names = [
+        F.when(~value(N_EXPECTED, c).eqNullSafe(value(N_ACTUAL, c)), F.lit(shown))
+        for c, shown in zip(sides.expected.columns, sides.columns)
+    ]
+    return F.concat_ws(",", *names)
+
+
 def mismatching_columns(
     sides: Aligned,
     keys: Sequence[str] | None = None,

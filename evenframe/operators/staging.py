@@ -138,19 +138,23 @@ def stage_table(
     mapping: DataFrame,
     change_column: str = CHANGE_COLUMN,
     file_column: str = FILE_COLUMN,
+    latest_only: bool = False,
 ) -> DataFrame:
     """Staged rows with their file and ``cnt``, 1 being the latest of its key.
 
     Later changes come first; among equal changes the greater file name does.
+    ``latest_only`` leaves out the rows beyond ``cnt`` 1, which the checks do
+    not look at and which need not be shuffled then.
     """
     staged = stage(df, mapping, keep=[file_column])
-    return latest_by(
+    latest = latest_by(
         staged,
         key_fields(mapping),
         change_column,
         tie_break=[file_column],
-        keep_rank=RANK_COLUMN,
+        keep_rank=None if latest_only else RANK_COLUMN,
     )
+    return latest.withColumn(RANK_COLUMN, F.lit(1)) if latest_only else latest
 
 
 def latest_staged(staged: DataFrame) -> DataFrame:

@@ -45,10 +45,16 @@ def surplus(of: str, over: str) -> Column:
     return F.greatest(F.col(of) - F.col(over), F.lit(0).cast("bigint"))
 
 
-def _total(column: Column) -> Column:
+def total(column: Column) -> Column:
+    """Sum that is 0 over no rows."""
     return F.coalesce(F.sum(column), F.lit(0).cast("bigint"))
 
 
+def of_side(copies: str, column: str) -> Column:
+    """Aggregate over a tally: the greatest value of ``column`` on one side."""
+    return F.max(F.when(F.col(copies) > 0, F.col(column)))
+
+
 def row_totals(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Row counts of both sides only, for frames that cannot be aligned."""
 
@@ -56,8 +62,8 @@ def row_totals(expected: DataFrame, actual: DataFrame) -> DataFrame:
         return _marked(df.select(), e, a)
 
     return rows(expected, 1, 0).union(rows(actual, 0, 1)).agg(
-        _total(F.col(N_EXPECTED)).alias("expected_rows"),
-        _total(F.col(N_ACTUAL)).alias("actual_rows"),
+        total(F.col(N_EXPECTED)).alias("expected_rows"),
+        total(F.col(N_ACTUAL)).alias("actual_rows"),
     )
 
 
@@ -74,12 +80,12 @@ def totals(counted: DataFrame, key_columns: Sequence[str] | None = None) -> Data
         "actual_minus_expected": surplus(N_ACTUAL, N_EXPECTED),
     }
     if not key_columns:
-        return counted.agg(*[_total(c).alias(n) for n, c in measures.items()])
+        return counted.agg(*[total(c).alias(n) for n, c in measures.items()])
     per_key = counted.groupBy(*key_columns).agg(
         *[F.sum(c).alias(n) for n, c in measures.items()]
     )
     return per_key.agg(
-        *[_total(F.col(n)).alias(n) for n in measures],
+        *[total(F.col(n)).alias(n) for n in measures],
         F.count_if(F.col("expected_rows") > 0).alias("expected_keys"),
         F.count_if(F.col("actual_rows") > 0).alias("actual_keys"),
     )

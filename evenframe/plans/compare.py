@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenframe.functions.columns import actual_name, named, one_row
+from evenframe.functions.columns import actual_name, named, one_row, position_of
 from evenframe.operators.align import (
     STRUCTURE_ERROR,
     Aligned,
@@ -17,8 +17,21 @@ from evenframe.operators.align import (
     project,
 )
 from evenframe.operators.latest import distinct_key_count, latest_by
-from evenframe.operators.mismatch import internal_keys, mismatching_columns
-from evenframe.operators.tally import row_totals, tally, totals
+from evenframe.operators.mismatch import (
+    internal_keys,
+    mismatching_columns,
+    one_row_mismatches,
+)
+from evenframe.operators.tally import (
+    N_ACTUAL,
+    N_EXPECTED,
+    of_side,
+    row_totals,
+    surplus,
+    tally,
+    total,
+    totals,
+)
 from evenframe.plans import reports as R
 
 MODES = ("two_way", "one_way")
@@ -205,14 +218,13 @@ def compare_profiles(
                 "Actual columns": F.lit(len(actual.columns)),
             },
         )
-    counted = tally(sides)
-    row = one_row(
-        [
-            totals(counted).select("expected_minus_actual"),
-            mismatching_columns(sides, name="mismatching", counted=counted),
-            _row_count(expected, "expected"),
-            _row_count(actual, "actual"),
-        ]
+    rows_e = position_of(expected, ROW_COUNT)
+    rows_a = rows_e if by == "name" else position_of(actual, ROW_COUNT)
+    row = tally(sides).agg(
+        total(surplus(N_EXPECTED, N_ACTUAL)).alias("expected_minus_actual"),
+        one_row_mismatches(sides).alias("mismatching"),
+        of_side(N_EXPECTED, f"c{rows_e}").cast("string").alias("expected_rows"),
+        of_side(N_ACTUAL, f"c{rows_a}").cast("string").alias("actual_rows"),
     )
     return _one_way_report(row, sides, table)
 
