@@ -503,6 +503,7 @@ def profile_crm(spark: SparkSession, folder: str) -> DataFrame:
         crm(spark, "orders"),
         rules="crm",
         change_column="o_orderdate",
+        columnar=True,
     )
 
 

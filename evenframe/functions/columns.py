@@ -53,6 +53,20 @@ def row_tie_break(df: DataFrame, used: Iterable[str]) -> list[Column]:
     ]
 
 
+def distinct_text(column: Column, data_type: T.DataType) -> Column | None:
+    """Text that is equal for equal values only; None where there is none."""
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return (column + F.lit(0.0)).cast("string")  # -0.0 becomes 0.0
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    if isinstance(data_type, T.BinaryType):
+        return F.hex(column)
+    plain = (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampNTZType)
+    if data_type == T.StringType() or isinstance(data_type, plain):
+        return column.cast("string")
+    return None
+
+
 def fresh_name(columns: Iterable[str], stem: str) -> str:
     """A name starting with ``stem`` that no column carries yet."""
     taken = {name.lower() for name in columns}

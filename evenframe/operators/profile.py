@@ -6,13 +6,15 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenframe.functions import statistics as S
-from evenframe.functions.columns import actual_name, named, one_row
+from evenframe.functions.columns import actual_name, distinct_text, named, one_row
 from evenframe.operators import rules as R
 from evenframe.operators.latest import latest_by
 
 COLUMNS_PER_SCAN = 2
+DISTINCT_COUNTS_TOGETHER = 12
 
 
 def statistics_for(
@@ -50,26 +52,35 @@ def profile(
 ) -> DataFrame:
     """One row: row count, latest change and the statistics of every field.
 
-    Several distinct counts in one aggregate make Spark copy each row once per
-    counted column. ``columnar=True`` says that ``df`` is a plain read of a
-    columnar table, where reading two columns at a time is cheaper than that:
-    each pass then touches only its own columns. Leave it off where reading is
-    the costly part (delimited files, JDBC, frames computed before).
+    Distinct counts are exact. Several of them in one aggregate make Spark copy
+    each row once per counted column, so there are three ways to take them.
+    ``columnar=True`` says that ``df`` is a plain read of a columnar table: two
+    columns at a time are read and counted, and each pass touches only its own
+    columns. Otherwise reading is taken to be the costly part (delimited files,
+    JDBC, frames computed before): a few counts go along in the one aggregate,
+    many are taken in one pass over single cells.
     """
     statistics = statistics_for(dictionary, rules, side)
     changed = actual_name(df, change_column or R.CHANGE_COLUMN[rules])
-    plain = [
+    counts = [s for s in statistics if s.kind == R.COUNT_DISTINCT]
+    if columnar:
+        apart = counts
+    else:
+        apart = [s for s in counts if distinct_text(*_field(df, s)) is not None]
+        if len(apart) <= DISTINCT_COUNTS_TOGETHER:
+            apart = []
+    together = [
         F.count(F.lit(1)).alias("TOTAL_ROW_COUNT"),
         F.max(named(changed)).alias("MAX_MODIFICATION_DATE"),
+        *[_aggregate(df, s).alias(s.name) for s in statistics if s not in apart],
     ]
-    distinct: list[Column] = []
-    for statistic in statistics:
-        column = _aggregate(df, statistic).alias(statistic.name)
-        is_distinct = columnar and statistic.kind == R.COUNT_DISTINCT
-        (distinct if is_distinct else plain).append(column)
-    parts = [df.agg(*plain)]
-    for start in range(0, len(distinct), COLUMNS_PER_SCAN):
-        parts.append(df.agg(*distinct[start : start + COLUMNS_PER_SCAN]))
+    parts = [df.agg(*together)]
+    if apart and not columnar:
+        parts.append(_distinct_cells(df, apart))
+    elif apart:
+        for start in range(0, len(apart), COLUMNS_PER_SCAN):
+            some = apart[start : start + COLUMNS_PER_SCAN]
+            parts.append(df.agg(*[_aggregate(df, s).alias(s.name) for s in some]))
     return one_row(parts).select(
         F.lit("Profile").alias("Profile"),
         "TOTAL_ROW_COUNT",
@@ -78,9 +89,38 @@ def profile(
     )
 
 
-def _aggregate(df: DataFrame, statistic: R.Statistic) -> Column:
+def _distinct_cells(df: DataFrame, counts: list[R.Statistic]) -> DataFrame:
+    """Distinct counts of many columns in one pass.
+
+    Each row becomes one small (column, value) cell per column. Equal cells
+    fold before the shuffle, so a value shared by many rows costs nothing.
+    """
+    texts = F.array(*[distinct_text(*_field(df, s)) for s in counts])
+    per_column = (
+        df.select(F.posexplode(texts).alias("__which", "__value"))
+        .where(F.col("__value").isNotNull())
+        .distinct()
+        .groupBy("__which")
+        .agg(F.count(F.lit(1)).alias("__values"))
+    )
+    return per_column.agg(
+        *[
+            F.coalesce(
+                F.max(F.when(F.col("__which") == i, F.col("__values"))),
+                F.lit(0).cast("bigint"),
+            ).alias(s.name)
+            for i, s in enumerate(counts)
+        ]
+    )
+
+
+def _field(df: DataFrame, statistic: R.Statistic) -> tuple[Column, T.DataType]:
     field = actual_name(df, statistic.field)
-    column, data_type = named(field), df.schema[field].dataType
+    return named(field), df.schema[field].dataType
+
+
+def _aggregate(df: DataFrame, statistic: R.Statistic) -> Column:
+    column, data_type = _field(df, statistic)
     if statistic.kind == R.SUM_LEN:
         return S.text_length(column, statistic.first)
     if statistic.kind == R.COUNT_DISTINCT:

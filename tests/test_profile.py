@@ -137,6 +137,25 @@ def test_empty_table(spark):
     assert [tuple(r) for r in got] == [("Profile", 0, None, None, 0, None, 0)]
 
 
+def test_many_distinct_counts_in_one_pass(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES "
+        "(0.0D, -0.0F, TIMESTAMP'2024-01-01 00:00:00', X'00', 1.0, true, 'a', 'x'), "
+        "(-0.0D, 0.0F, TIMESTAMP'2024-01-01 00:00:00', X'0000', 1.0, null, 'A', 'x'), "
+        "(double('NaN'), null, TIMESTAMP'2024-01-01 00:00:01', null, 2.5, false, '', 'x'), "
+        "(double('NaN'), null, null, X'00', null, false, null, 'x') "
+        "AS t(d, f, ts, b, n, o, s, c)"
+    )
+    repeated = df.select("*", *[df[c].alias(f"{c}2") for c in df.columns], df.ts.alias("EDW_MDF_TST"))
+    fields = [(c, "OTHER", None) for c in repeated.columns]
+    got = profile(repeated, erp(spark, *fields)).first().asDict()
+    wanted = {"d": 2, "f": 1, "ts": 2, "b": 2, "n": 2, "o": 2, "s": 3, "c": 1}
+    for name, number in wanted.items():
+        assert got[f"COUNT_DISTINCT_{name}"] == got[f"COUNT_DISTINCT_{name}2"] == number
+    none = profile(repeated.limit(0), erp(spark, *fields)).first()
+    assert none["COUNT_DISTINCT_d"] == 0
+
+
 def test_erp_sides_agree(spark):
     df = spark.createDataFrame([("ab", 1, "20240101")], "a string, n int, EDW_MDF_TST string")
     dictionary = erp(spark, ("a", "CHAR", None), ("n", "INT4", 0), ("EDW_MDF_TST", "DATS", None))
