@@ -16,14 +16,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, whose executors are threads of the driver, may fall
     back to a folder of the machine.
     """
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    context = spark.sparkContext
+    folder = context.getConf().get(SETTING) or spark.conf.get(SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="evenframe-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {SETTING} to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="evenframe-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, stem: str) -> str:
@@ -34,6 +35,7 @@ def new_folder(spark: SparkSession, stem: str) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` so that lost executors cannot change its rows."""
     context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

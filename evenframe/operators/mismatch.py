@@ -1,10 +1,10 @@
 """Which columns differ between two frames.
 
 Rows with equal copies on both sides cancel out, so only the differing rows of
-the tally are looked at. Each of them is taken apart into one cell per column;
-a column mismatches at a key when the two sides hold different values (or a
-different number of equal values) there. Without keys the whole table counts
-as one key, which for one-row frames is a plain comparison of the two rows.
+the tally are looked at. A column mismatches at a key when the two sides hold
+different values, or a different number of equal values, there. Without keys
+the whole table counts as one key, which for one-row frames is a plain
+comparison of the two rows.
 """
 
 from __future__ import annotations
@@ -13,12 +13,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from evenframe.functions.columns import named
+from evenframe.functions.columns import distinct_text, named
 from evenframe.operators.align import Aligned
 from evenframe.operators.tally import N_ACTUAL, N_EXPECTED, differing, tally
 
 ALL_MATCH = "NA"
+NET = "__net"
 
 
 def internal_keys(sides: Aligned, keys: Sequence[str] | None) -> list[str]:
@@ -38,37 +40,92 @@ def _mismatch_row(
     value_columns = [c for c in sides.expected.columns if c not in key_columns]
     if not value_columns:
         raise ValueError("there is no column besides the keys")
-    which, net = "__which", "__net"
-    cells = (
-        differing(counted)
-        .select(
-            *[F.col(k) for k in key_columns],
-            *[F.col(c) for c in value_columns],
-            (F.col(N_EXPECTED) - F.col(N_ACTUAL)).alias(net),
-            F.explode(F.sequence(F.lit(0), F.lit(len(value_columns) - 1))).alias(which),
-        )
-        .select(
-            which,
-            net,
-            *key_columns,
-            *[
-                F.when(F.col(which) == i, F.col(c)).alias(c)
-                for i, c in enumerate(value_columns)
-            ],
-        )
+    net = (F.col(N_EXPECTED) - F.col(N_ACTUAL)).alias(NET)
+    rows = differing(counted).select(*key_columns, *value_columns, net)
+    if key_columns:
+        row = _by_key(rows, key_columns, value_columns)
+    else:
+        row = _by_cell(rows, [], value_columns)
+    shown = dict(zip(sides.expected.columns, sides.columns))
+    return row, [(c, shown[c]) for c in value_columns]
+
+
+def _by_key(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Mismatching keys per column, one key at a time where that is enough.
+
+    If a key has more rows on one side, all its columns mismatch. If it has one
+    differing row on each side, the two are compared directly. Only keys with
+    several different rows on a side, which says the keys are not unique, are
+    taken apart into cells.
+    """
+    expected, actual, balance = "__e", "__a", "__balance"
+    per_key = rows.groupBy(*keys).agg(
+        F.sum(NET).alias(balance),
+        F.count_if(F.col(NET) > 0).alias("__n_e"),
+        F.count_if(F.col(NET) < 0).alias("__n_a"),
+        F.first(F.when(F.col(NET) > 0, F.struct(*values)), True).alias(expected),
+        F.first(F.when(F.col(NET) < 0, F.struct(*values)), True).alias(actual),
+    )
+    unbalanced = F.col(balance) != 0
+    clear = unbalanced | ((F.col("__n_e") == 1) & (F.col("__n_a") == 1))
+
+    def unequal(c: str) -> Column:
+        data_type = rows.schema[c].dataType
+        e, a = (_sortable(F.col(f"{s}.{c}"), data_type) for s in (expected, actual))
+        return unbalanced | ~e.eqNullSafe(a)
+
+    direct = per_key.where(clear).agg(*[F.count_if(unequal(c)).alias(c) for c in values])
+    tangled = per_key.where(~clear).select(
+        *[F.col(k).alias(f"__{k}") for k in keys]
+    )
+    same_key = F.lit(True)
+    for k in keys:
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    apart = _by_cell(rows.join(tangled, same_key, "left_semi"), keys, values)
+    return direct.union(apart).agg(*[F.sum(c).alias(c) for c in values])
+
+
+def _sortable(column: Column, data_type: T.DataType) -> Column:
+    """Maps cannot be compared, their sorted entries can."""
+    if isinstance(data_type, T.MapType):
+        return F.array_sort(F.map_entries(column))
+    return column
+
+
+def _by_cell(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Mismatching keys per column from single cells (column, value, net copies).
+
+    Equal cells fold before the shuffle. Columns whose values have no exact
+    text travel in a column of their own, null in the cells of the others.
+    """
+    which, text = "__which", "__text"
+    texts = [distinct_text(F.col(c), rows.schema[c].dataType) for c in values]
+    nested = {c: i for i, (c, t) in enumerate(zip(values, texts)) if t is None}
+    no_text = F.lit(None).cast("string")
+    cells = rows.select(
+        *keys,
+        *nested,
+        NET,
+        F.posexplode(F.array(*[no_text if t is None else t for t in texts])).alias(
+            which, text
+        ),
+    ).select(
+        which,
+        text,
+        NET,
+        *keys,
+        *[F.when(F.col(which) == i, F.col(c)).alias(c) for c, i in nested.items()],
     )
     unequal = (
-        cells.groupBy(which, *key_columns, *value_columns)
-        .agg(F.sum(net).alias(net))
-        .where(F.col(net) != 0)
-        .groupBy(which, *key_columns)
-        .agg(F.lit(1).alias(net))
+        cells.groupBy(which, text, *keys, *nested)
+        .agg(F.sum(NET).alias(NET))
+        .where(F.col(NET) != 0)
+        .select(which, *keys)
+        .distinct()
     )
-    row = unequal.agg(
-        *[F.count_if(F.col(which) == i).alias(c) for i, c in enumerate(value_columns)]
+    return unequal.agg(
+        *[F.count_if(F.col(which) == i).alias(c) for i, c in enumerate(values)]
     )
-    shown = dict(zip(sides.expected.columns, sides.columns))
-    return row, [(c, shown[c]) for c in value_columns]
 
 
 def mismatch_counts(sides: Aligned, keys: Sequence[str] | None = None) -> DataFrame:

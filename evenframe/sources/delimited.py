@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -137,13 +138,18 @@ def _files_by_header(
         read = read.option("pathGlobFilter", glob)
     first_lines = (
         read.text(paths)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .select(
+            "value",
+            "_metadata.file_path",
+            "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("place"),  # grows along a file
+        )
         .where(F.col("file_block_start") == 0)
         .groupBy("file_path")
-        .agg(F.first("value").alias("header"))
+        .agg(F.min_by("value", "place").alias("header"))
         .orderBy("file_path")
     )
     groups: dict[str, list[str]] = {}
     for row in first_lines.toLocalIterator():
-        groups.setdefault(row["header"], []).append(row["file_path"])
+        groups.setdefault(row["header"], []).append(unquote(row["file_path"]))
     return list(groups.values()) or [paths]

@@ -62,3 +62,17 @@ def test_many_columns(spark):
     left = spark.createDataFrame([tuple(range(81))], ["k", *columns])
     right = left.withColumn("v70", left.v70 + 1).withColumn("v3", left.v3 + 1)
     assert mismatching_columns(align(left, right), ["k"]).first()[0] == "v3,v70"
+
+
+def test_nested_and_map_columns(spark):
+    left = spark.sql(
+        "SELECT * FROM VALUES (1, map('a', 1, 'b', 2), array(1, null), 'x'), "
+        "(2, map('a', 1), array(2), 'x'), (2, map('a', 2), array(2), 'y') AS t(k, m, l, v)"
+    )
+    right = spark.sql(
+        "SELECT * FROM VALUES (1, map('b', 2, 'a', 1), array(1, 1), 'x'), "
+        "(2, map('a', 2), array(2), 'x'), (2, map('a', 3), array(2), 'y') AS t(k, m, l, v)"
+    )
+    sides = align(left, right)
+    assert rows(mismatch_counts(sides, ["k"])) == [("l", 1), ("m", 1), ("v", 0)]
+    assert mismatching_columns(sides).first()[0] == "m,l"

@@ -87,6 +87,15 @@ def test_header_modes(spark, folder):
         read_delimited(spark, folder, headers="any")
 
 
+def test_by_name_with_odd_paths_and_many_rows(spark, folder):
+    lines = "".join(f"{i},{i}\n" for i in range(2000))
+    write(folder, "a b/1 é%20.csv", "k,v\n" + lines)
+    write(folder, "a b/2.csv", "v,k\n" + lines.replace(",", ",9"))
+    got = read_delimited(spark, folder, headers="by_name")
+    assert got.count() == 4000
+    assert got.where("k LIKE '9%' AND substring(k, 2) = v").count() == 2000
+
+
 def test_by_name_joins_inferred_types(spark, folder):
     write(folder, "1.csv", "a,b\n1,2\n")
     write(folder, "2.csv", "b,a\nx,10\n")
