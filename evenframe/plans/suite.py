@@ -100,20 +100,26 @@ class ProfileSpec:
 
 
 def profile_suite(
-    spark: SparkSession, specs: Sequence[ProfileSpec], path_of: Callable[[str], str]
+    spark: SparkSession,
+    specs: Sequence[ProfileSpec],
+    path_of: Callable[[str], str],
+    at_once: int = TABLES_AT_ONCE,
 ) -> DataFrame:
     """Profile each table and write it to ``path_of(table)``.
 
     A table that fails is logged and passed over. The result has one row per
     table: ``Table, Status, Details``.
     """
-    rows = []
-    for spec in specs:
+
+    def write(spec: ProfileSpec) -> tuple[str, str, str]:
         try:
             profile = profile_table(spec.frame(), spec.dictionary, **spec.options)
             write_profile(profile, path_of(spec.table))
-            rows.append((spec.table, R.PASSED, ""))
         except Exception as error:
             log.warning("table %s: %s", spec.table, _message(error))
-            rows.append((spec.table, R.FAILED, _message(error)))
+            return spec.table, R.FAILED, _message(error)
+        return spec.table, R.PASSED, ""
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        rows = list(pool.map(write, specs))
     return spark.createDataFrame(rows, "Table string, Status string, Details string")

@@ -267,3 +267,13 @@ def test_one_exchange_of_the_rows(spark):
     plan = compare(left, right)._jdf.queryExecution().executedPlan().toString()
     assert Counter(plan.split())["hashpartitioning(c0#"] <= 1
     assert plan.count("hashpartitioning(c0") == 1
+
+
+def test_equally_partitioned_sides_are_not_shuffled_again(spark):
+    """As for two tables bucketed alike on the key."""
+    left = spark.range(1000).selectExpr("id % 10 AS k", "id AS v").repartition(8, "k")
+    right = spark.range(1000).selectExpr("id % 10 AS k", "id + 1 AS v").repartition(8, "k")
+    report_frame = compare(left, right)
+    assert report(report_frame)["Status"] == "Failed"
+    plan = report_frame._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(c0" not in plan

@@ -111,3 +111,30 @@ def test_arguments(spark):
         latest_by(df, ["k"], "ts", ties="all", keep_rank="cnt")
     with pytest.raises(ValueError):
         latest_cdc(df, [], "v", "ts")
+
+
+def test_tied_rows_of_a_hot_key_are_split(spark, folder):
+    """A third of all rows share one key and the latest time of it."""
+    data = spark.range(0, 600_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+        F.lit("2024-01-01").alias("ts"),
+        F.sha1(F.col("id").cast("string")).alias("v"),
+    )
+    data.write.parquet(f"{folder}/hot")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        latest = latest_by(spark.read.parquet(f"{folder}/hot"), ["k"], "ts", ties="all")
+        assert len(latest.toPandas()) == 600_000
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -13,7 +13,15 @@ from evenframe.plans import (
     session_settings,
     shuffle_partitions,
 )
-from evenframe.sources import CRM_SCHEMA, read_delimited
+from evenframe.operators import profile_table
+from evenframe.sources import (
+    BAR_DOLLAR,
+    CRM_SCHEMA,
+    RECORD_SEPARATOR,
+    read_delimited,
+    write_delimited,
+    write_profile,
+)
 
 
 def test_a_failing_table_leaves_the_others_alone(spark, folder):
@@ -104,3 +112,37 @@ def test_session_settings():
     assert shuffle_partitions(10) == 8
     assert shuffle_partitions(100 * 2**40) == 409_600
     assert session_settings(2**40)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_profiles_written_read_back_and_compared(spark, folder):
+    """Profile both copies to files, each side's own format, and compare the files."""
+    expected = spark.createDataFrame(
+        [("1", "x", "1.25", "2024-01-01 10:00:00"), ("1", "y", "2.50", "2024-01-02 10:00:00"),
+         ("2", None, None, "2024-01-01 10:00:00")],
+        "Id string, txt string, amount string, SystemModstamp string",
+    )
+    dictionary = spark.createDataFrame(
+        [("t", "Id", "Id"), ("t", "txt", "Text(10)"), ("t", "amount", "Number(18, 2)")],
+        CRM_SCHEMA,
+    )
+    options = {"rules": "crm", "latest_keys": ["Id"]}
+
+    def files(actual):
+        source = profile_table(expected, dictionary, **options)
+        write_delimited(source.coalesce(1), f"{folder}/e", BAR_DOLLAR, RECORD_SEPARATOR)
+        write_profile(profile_table(actual, dictionary, **options), f"{folder}/a")
+        return TableSpec(
+            "t",
+            lambda: read_delimited(
+                spark, f"{folder}/e", BAR_DOLLAR, RECORD_SEPARATOR, infer=True
+            ),
+            lambda: read_delimited(spark, f"{folder}/a", infer=True),
+            profiles=True,
+        )
+
+    same = run_suite(spark, [files(expected.repartition(3))]).first()
+    assert (same["Status"], same["Expected rows"]) == ("Passed", "2")
+    changed = expected.withColumn("amount", expected.amount.cast("decimal(9,2)") + 1)
+    changed = changed.withColumn("amount", changed.amount.cast("string"))
+    other = run_suite(spark, [files(changed)]).first()
+    assert (other["Status"], other["Mismatching columns"]) == ("Failed", "SUM_amount")
