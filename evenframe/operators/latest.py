@@ -50,6 +50,8 @@ def latest_by(
     ranking = [named(c).desc() for c in orders + breaks]
     ranking += row_tie_break(df, [*keys, *orders, *breaks])
     if keep_rank:
+        if keep_rank.lower() in {c.lower() for c in df.columns}:
+            raise ValueError(f"there is a column {keep_rank!r} already")
         return number_rows(df, keys, ranking, keep_rank)
     return _first_per_key(df, keys, ranking)
 

@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from evenframe.operators import distinct_key_count, latest_by, latest_cdc
 from evenframe.operators.numbering import number_rows
-from evenframe.plans.presets import LEDGER_CHANGED_AT, LEDGER_KEYS, LEDGER_OPERATION
+from evenframe import LatestBy, compare
+from evenframe.plans.presets import (
+    FACT_KEYS,
+    FACT_ORDER,
+    LEDGER_CHANGED_AT,
+    LEDGER_KEYS,
+    LEDGER_OPERATION,
+)
 
 
 def ledger(spark, changes):
@@ -109,10 +116,39 @@ def test_arguments(spark):
         latest_by(df, ["k"], "ts", ties="some")
     with pytest.raises(ValueError):
         latest_by(df, ["k"], "ts", ties="all", keep_rank="cnt")
+    with pytest.raises(ValueError):
+        latest_by(df, ["k"], "ts", keep_rank="V")
     with pytest.raises(ValueError):
         latest_cdc(df, [], "v", "ts")
 
 
+@pytest.mark.parametrize("table", list(FACT_KEYS))
+def test_fact_tables_against_their_newest_version(spark, table):
+    """The files keep old versions; the source has the newest only, ties included."""
+    keys = FACT_KEYS[table]
+    versions = spark.range(40).select(
+        *[(F.col("id") % (2 + i % 2)).alias(k) for i, k in enumerate(keys)],
+        F.col("id").cast("decimal(18,2)").alias("amt_meas1"),
+        F.expr("TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, int(id / 13))").alias("DTEMOD"),
+    )
+    groups = {}
+    for r in versions.collect():
+        groups.setdefault(tuple(r[k] for k in keys), []).append(tuple(r))
+    newest = [
+        r
+        for group in groups.values()
+        for r in group
+        if r[-1] == max(other[-1] for other in group)
+    ]
+    source = spark.createDataFrame(newest, versions.schema).toDF(
+        *[c.lower() for c in versions.columns]
+    )
+    got = compare(source, versions, table, latest=LatestBy(keys, FACT_ORDER)).first()
+    assert (got["Status"], got["Actual rows"]) == ("Passed", str(len(newest)))
+    plain = compare(source, versions, table).first()
+    assert plain["Status"] == "Failed" and len(newest) < 40
+
+
 def test_tied_rows_of_a_hot_key_are_split(spark, folder):
     """A third of all rows share one key and the latest time of it."""
     data = spark.range(0, 600_000, 1, 8).select(

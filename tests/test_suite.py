@@ -110,8 +110,12 @@ def test_profile_suite(spark, folder):
 
 def test_session_settings():
     assert shuffle_partitions(10) == 8
-    assert shuffle_partitions(100 * 2**40) == 409_600
-    assert session_settings(2**40)["spark.sql.shuffle.partitions"] == "4096"
+    assert shuffle_partitions(2**40) == 4096
+    assert shuffle_partitions(200 * 2**40) == 65_536
+    small, big = session_settings(2**40), session_settings(200 * 2**40)
+    assert small["spark.sql.shuffle.partitions"] == "4096"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) > 10**9
 
 
 def test_profiles_written_read_back_and_compared(spark, folder):
