@@ -10,7 +10,6 @@ MAX_PRECISION = 38
 GUARD_DIGITS = 6
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-FLOATING = (T.FloatType, T.DoubleType)
 
 
 def text_length(column: Column, first: int | None = None) -> Column:
@@ -25,31 +24,32 @@ def distinct_count(column: Column) -> Column:
     return F.count_distinct(column)
 
 
-def _exact_total(column: Column, data_type: T.DataType, scale: int) -> Column:
+def _exact_total(
+    column: Column, data_type: T.DataType, precision: int, scale: int
+) -> Column:
     """Sum that does not depend on the order in which rows are added.
 
-    Floating point and text values are added as decimals. Text that is no
-    number is skipped; a NaN or infinite value makes the sum null.
+    Floating point and text values are added as decimals with some digits to
+    spare. Text that is no number is skipped. A number that is not finite or
+    too big for any decimal makes the sum null.
     """
     if isinstance(data_type, T.BooleanType):
         return F.sum(column.cast("bigint"))
     if isinstance(data_type, INTEGRAL):
         return F.sum(column.cast(T.DecimalType(20, 0)))
     if isinstance(data_type, T.DecimalType):
-        return F.sum(column)
-    wide = T.DecimalType(MAX_PRECISION, min(scale + GUARD_DIGITS, MAX_PRECISION))
-    total = F.sum(column.try_cast(wide))
-    if isinstance(data_type, FLOATING):
-        finite = ~(F.isnan(column) | (F.abs(column) == float("inf")))
-        return F.when(F.coalesce(F.bool_and(finite), F.lit(True)), total)
-    return total
+        return F.try_sum(column)
+    guard = max(0, min(GUARD_DIGITS, MAX_PRECISION - precision))
+    exact = column.try_cast(T.DecimalType(MAX_PRECISION, scale + guard))
+    lost = exact.isNull() & column.try_cast("double").isNotNull()
+    return F.when(~F.coalesce(F.bool_or(lost), F.lit(False)), F.try_sum(exact))
 
 
 def decimal_sum(
     column: Column, data_type: T.DataType, precision: int, scale: int
 ) -> Column:
     """``CAST(SUM(c) AS DECIMAL(p, s))``; null where the sum does not fit."""
-    return _exact_total(column, data_type, scale).try_cast(
+    return _exact_total(column, data_type, precision, scale).try_cast(
         T.DecimalType(precision, scale)
     )
 
@@ -60,7 +60,7 @@ def plain_sum(column: Column, data_type: T.DataType) -> Column:
         return F.sum(column.cast("bigint"))
     if isinstance(data_type, INTEGRAL + (T.DecimalType,)):
         return F.sum(column)
-    return _exact_total(column, data_type, 10).cast("double")
+    return _exact_total(column, data_type, 28, 10).cast("double")
 
 
 def flag_sum(column: Column, data_type: T.DataType) -> Column:

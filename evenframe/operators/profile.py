@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from evenframe.operators import rules as R
 from evenframe.operators.latest import latest_by
 
 COLUMNS_PER_SCAN = 2
+MOST_SCANS = 8
 DISTINCT_COUNTS_TOGETHER = 12
 
 
@@ -54,9 +56,9 @@ def profile(
 
     Distinct counts are exact. Several of them in one aggregate make Spark copy
     each row once per counted column, so there are three ways to take them.
-    ``columnar=True`` says that ``df`` is a plain read of a columnar table: two
-    columns at a time are read and counted, and each pass touches only its own
-    columns. Otherwise reading is taken to be the costly part (delimited files,
+    ``columnar=True`` says that ``df`` is a plain read of a columnar table: a
+    few columns at a time are read and counted, and each pass touches only its
+    own columns. Otherwise reading is taken to be the costly part (delimited files,
     JDBC, frames computed before): a few counts go along in the one aggregate,
     many are taken in one pass over single cells.
     """
@@ -78,8 +80,9 @@ def profile(
     if apart and not columnar:
         parts.append(_distinct_cells(df, apart))
     elif apart:
-        for start in range(0, len(apart), COLUMNS_PER_SCAN):
-            some = apart[start : start + COLUMNS_PER_SCAN]
+        step = max(COLUMNS_PER_SCAN, math.ceil(len(apart) / MOST_SCANS))
+        for start in range(0, len(apart), step):
+            some = apart[start : start + step]
             parts.append(df.agg(*[_aggregate(df, s).alias(s.name) for s in some]))
     return one_row(parts).select(
         F.lit("Profile").alias("Profile"),

@@ -131,6 +131,16 @@ def test_sum_that_does_not_fit_or_is_not_finite_is_null(spark):
     assert source["SUM_a"] == 2e9 and source["SUM_b"] is None
 
 
+def test_numbers_beyond_any_decimal_are_not_dropped(spark):
+    df = spark.createDataFrame(
+        [("1", "1", "x", 1e40), ("1e40", "NaN", "2.5", 1.0)], "a string, b string, c string, d double"
+    )
+    dictionary = crm(spark, *[(f, "Number(18, 2)") for f in "abcd"])
+    got = profile(df, dictionary, rules="crm", change_column="a").first()
+    assert got["SUM_a"] is None and got["SUM_b"] is None and got["SUM_d"] is None
+    assert got["SUM_c"] == Decimal("2.50")
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], TEXT_SCHEMA)
     got = profile(df, crm(spark, ("Id", "Id"), ("flag", "Checkbox")), rules="crm").collect()
