@@ -1,4 +1,5 @@
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
@@ -131,6 +132,22 @@ def test_sum_that_does_not_fit_or_is_not_finite_is_null(spark):
     assert source["SUM_a"] == 2e9 and source["SUM_b"] is None
 
 
+@pytest.mark.parametrize("scale", [0, 2, 4])
+def test_floating_sums_are_exact(spark, scale):
+    rng = random.Random(scale)
+    values = [round(rng.uniform(-1e6, 1e6), scale) for _ in range(500)]
+    values += [0.1, 0.2, -0.0, 1e15, 123456789012345.0, -2.5e17, None]
+    df = spark.createDataFrame([(v, v) for v in values], "d double, EDW_MDF_TST double")
+    wanted = sum(Decimal(repr(v)) for v in values if v is not None)
+    for parts in (1, 7):
+        got = profile(df.repartition(parts), erp(spark, ("d", "CURR", scale))).first()
+        assert got["SUM_d"] == wanted.quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)
+    only_big = profile(df.where("d > 1e12"), erp(spark, ("d", "CURR", scale))).first()
+    assert only_big["SUM_d"] == Decimal("1123456789012345")
+    none = profile(df.where("d IS NULL"), erp(spark, ("d", "CURR", scale))).first()
+    assert none["SUM_d"] is None
+
+
 def test_numbers_beyond_any_decimal_are_not_dropped(spark):
     df = spark.createDataFrame(
         [("1", "1", "x", 1e40), ("1e40", "NaN", "2.5", 1.0)], "a string, b string, c string, d double"
