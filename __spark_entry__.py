@@ -349,7 +349,7 @@ def compare_versioned(spark: SparkSession, folder: str) -> DataFrame:
 def lineitem_profiles(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     def of(df: DataFrame) -> DataFrame:
         return ef.profile(
-            df, erp(spark, "lineitem"), change_column="l_shipdate", columnar=True
+            df, erp(spark, "lineitem"), change_column="l_shipdate", read_as="columnar"
         )
 
     return of(table(spark, folder, "lineitem")), of(changed_lineitem(spark, folder))
@@ -463,7 +463,7 @@ def profile_erp(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem"),
         erp(spark, "lineitem"),
         change_column="l_shipdate",
-        columnar=True,
+        read_as="columnar",
     )
 
 
@@ -503,7 +503,7 @@ def profile_crm(spark: SparkSession, folder: str) -> DataFrame:
         crm(spark, "orders"),
         rules="crm",
         change_column="o_orderdate",
-        columnar=True,
+        read_as="columnar",
     )
 
 
@@ -517,7 +517,7 @@ def profile_crm_source(spark: SparkSession, folder: str) -> DataFrame:
         rules="crm",
         side="source",
         change_column="o_orderdate",
-        columnar=True,
+        read_as="columnar",
     )
 
 

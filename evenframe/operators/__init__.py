@@ -1,4 +1,4 @@
-from evenframe.operators.align import STRUCTURE_ERROR, Aligned, StructureError, align, project
+from evenframe.operators.alignment import STRUCTURE_ERROR, Aligned, StructureError, align, project
 from evenframe.operators.checks import (
     column_count_check,
     duplicate_keys,
@@ -12,7 +12,7 @@ from evenframe.operators.latest import (
     latest_cdc,
 )
 from evenframe.operators.mismatch import mismatch_counts, mismatching_columns
-from evenframe.operators.profile import profile, profile_table, run_profile_sql
+from evenframe.operators.profiles import profile, profile_table, run_profile_sql
 from evenframe.operators.staging import (
     choose_area,
     has_pii,
@@ -24,7 +24,7 @@ from evenframe.operators.staging import (
     stage_table,
     target_fields,
 )
-from evenframe.operators.tally import diff_rows, labelled_diff, tally, totals
+from evenframe.operators.counting import diff_rows, labelled_diff, tally, totals
 
 __all__ = [
     "STRUCTURE_ERROR", "Aligned", "StructureError", "align", "project",

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenframe.functions.columns import actual_name, named
-from evenframe.operators.align import Aligned, align
+from evenframe.operators.alignment import Aligned, align
 from evenframe.operators.staging import latest_staged
-from evenframe.operators.tally import labelled_diff
+from evenframe.operators.counting import labelled_diff
 
 DUPLICATES = "Duplicates"
 SYSTEM_COLUMN = "SRC_SYS_COD"

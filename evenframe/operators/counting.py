@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenframe.functions.columns import named
-from evenframe.operators.align import Aligned
+from evenframe.operators.alignment import Aligned
 
 N_EXPECTED = "__expected"
 N_ACTUAL = "__actual"

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenframe.functions.columns import distinct_text, named
-from evenframe.operators.align import Aligned
-from evenframe.operators.tally import N_ACTUAL, N_EXPECTED, differing, tally
+from evenframe.operators.alignment import Aligned
+from evenframe.operators.counting import N_ACTUAL, N_EXPECTED, differing, tally
 
 ALL_MATCH = "NA"
 NET = "__net"

@@ -17,6 +17,7 @@ from evenframe.operators.latest import latest_by
 COLUMNS_PER_SCAN = 2
 MOST_SCANS = 8
 DISTINCT_COUNTS_TOGETHER = 12
+READ_AS = ("files", "columnar", "computed")
 
 
 def statistics_for(
@@ -50,34 +51,38 @@ def profile(
     rules: str = "erp",
     side: str = "target",
     change_column: str | None = None,
-    columnar: bool = False,
+    read_as: str = "files",
 ) -> DataFrame:
     """One row: row count, latest change and the statistics of every field.
 
-    Distinct counts are exact. Several of them in one aggregate make Spark copy
-    each row once per counted column, so there are three ways to take them.
-    ``columnar=True`` says that ``df`` is a plain read of a columnar table: a
-    few columns at a time are read and counted, and each pass touches only its
-    own columns. Otherwise reading is taken to be the costly part (delimited files,
-    JDBC, frames computed before): a few counts go along in the one aggregate,
-    many are taken in one pass over single cells.
+    Distinct counts are exact. Taken in the same aggregate as the rest, Spark
+    would copy each row, with all its columns, once per counted column; they
+    are kept apart instead. ``read_as`` says what reading ``df`` costs:
+
+    ``files``     delimited files, JDBC: one pass for all distinct counts
+    ``columnar``  a plain read of a columnar table: a few columns per pass, each
+                  pass reads only its own
+    ``computed``  a frame with costly steps before: nothing is read twice as
+                  long as there are few distinct counts
     """
+    if read_as not in READ_AS:
+        raise ValueError(f"read_as must be one of {READ_AS}, not {read_as!r}")
     statistics = statistics_for(dictionary, rules, side)
     changed = actual_name(df, change_column or R.CHANGE_COLUMN[rules])
     counts = [s for s in statistics if s.kind == R.COUNT_DISTINCT]
-    if columnar:
+    if read_as == "columnar":
         apart = counts
+    elif read_as == "computed" and len(counts) <= DISTINCT_COUNTS_TOGETHER:
+        apart = []
     else:
         apart = [s for s in counts if distinct_text(*_field(df, s)) is not None]
-        if len(apart) <= DISTINCT_COUNTS_TOGETHER:
-            apart = []
     together = [
         F.count(F.lit(1)).alias("TOTAL_ROW_COUNT"),
         F.max(named(changed)).alias("MAX_MODIFICATION_DATE"),
         *[_aggregate(df, s).alias(s.name) for s in statistics if s not in apart],
     ]
     parts = [df.agg(*together)]
-    if apart and not columnar:
+    if apart and read_as != "columnar":
         parts.append(_distinct_cells(df, apart))
     elif apart:
         step = max(COLUMNS_PER_SCAN, math.ceil(len(apart) / MOST_SCANS))
@@ -142,7 +147,7 @@ def profile_table(
     side: str = "target",
     change_column: str | None = None,
     latest_keys: Iterable[str] | None = None,
-    columnar: bool = False,
+    read_as: str = "files",
 ) -> DataFrame:
     """Profile of a table as read, or of its latest row per ``latest_keys``."""
     changed = change_column or R.CHANGE_COLUMN[rules]
@@ -151,8 +156,8 @@ def profile_table(
         keys = list(latest_keys)
         used = {actual_name(df, c): None for c in [*keys, changed, *fields]}
         df = latest_by(df.select(*[named(c) for c in used]), keys, changed)
-        columnar = False
-    return profile(df, dictionary, rules, side, changed, columnar)
+        read_as = "computed"
+    return profile(df, dictionary, rules, side, changed, read_as)
 
 
 def run_profile_sql(

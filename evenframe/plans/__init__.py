@@ -1,4 +1,4 @@
-from evenframe.plans.compare import (
+from evenframe.plans.comparison import (
     LatestBy,
     compare,
     compare_profiles,

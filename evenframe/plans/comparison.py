@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenframe.functions.columns import actual_name, named, one_row, position_of
-from evenframe.operators.align import (
+from evenframe.operators.alignment import (
     STRUCTURE_ERROR,
     Aligned,
     StructureError,
@@ -22,7 +22,7 @@ from evenframe.operators.mismatch import (
     mismatching_columns,
     one_row_mismatches,
 )
-from evenframe.operators.tally import (
+from evenframe.operators.counting import (
     N_ACTUAL,
     N_EXPECTED,
     of_side,

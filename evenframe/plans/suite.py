@@ -9,9 +9,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenframe.operators.profile import profile_table
+from evenframe.operators.profiles import profile_table
 from evenframe.plans import reports as R
-from evenframe.plans.compare import compare, compare_profiles
+from evenframe.plans.comparison import compare, compare_profiles
 from evenframe.sources.sinks import write_profile
 
 log = logging.getLogger(__name__)
@@ -24,7 +24,7 @@ TABLES_AT_ONCE = 4
 class TableSpec:
     """One table of a suite: how to read both sides and how to compare them.
 
-    ``options`` are those of :func:`evenframe.plans.compare.compare`; with
+    ``options`` are those of :func:`evenframe.plans.comparison.compare`; with
     ``profiles`` the sides are one-row profiles.
     """
 
@@ -90,7 +90,7 @@ class ProfileSpec:
     """One table to profile: how to read it and its dictionary rows.
 
     ``options`` are those of
-    :func:`evenframe.operators.profile.profile_table`.
+    :func:`evenframe.operators.profiles.profile_table`.
     """
 
     table: str

@@ -5,7 +5,7 @@ import pytest
 
 from evenframe import profile, profile_table, run_profile_sql
 from evenframe.operators import rules as R
-from evenframe.operators.profile import statistics_for
+from evenframe.operators.profiles import statistics_for
 from evenframe.sources import CRM_SCHEMA, ERP_SCHEMA, load_dictionary
 
 
@@ -83,15 +83,15 @@ TEXT_ROWS = [
 TEXT_SCHEMA = "Id string, flag string, amount string, SystemModstamp string, txt string"
 
 
-@pytest.mark.parametrize("columnar", [True, False])
-def test_crm_profile_over_texts(spark, columnar):
+@pytest.mark.parametrize("read_as", ["files", "columnar", "computed"])
+def test_crm_profile_over_texts(spark, read_as):
     df = spark.createDataFrame(TEXT_ROWS, TEXT_SCHEMA)
     dictionary = crm(
         spark,
         ("Id", "Id"), ("flag", "Checkbox"), ("amount", "Number(18, 2)"),
         ("SystemModstamp", "Date/Time"), ("txt", "Text(10)"),
     )
-    got = profile(df, dictionary, rules="crm", columnar=columnar).collect()
+    got = profile(df, dictionary, rules="crm", read_as=read_as).collect()
     assert [r.asDict() for r in got] == [
         {
             "Profile": "Profile",
@@ -187,7 +187,7 @@ def test_erp_sides_agree(spark):
     df = spark.createDataFrame([("ab", 1, "20240101")], "a string, n int, EDW_MDF_TST string")
     dictionary = erp(spark, ("a", "CHAR", None), ("n", "INT4", 0), ("EDW_MDF_TST", "DATS", None))
     target = profile(df, dictionary).collect()
-    assert target == profile(df, dictionary, side="source", columnar=True).collect()
+    assert target == profile(df, dictionary, side="source", read_as="columnar").collect()
     assert target[0]["SUM_n"] == Decimal(1)
 
 
@@ -215,6 +215,8 @@ def test_errors(spark):
         statistics_for(crm(spark, ("a", "Id"), ("A", "Id")), "crm")
     with pytest.raises(ValueError, match="not found"):
         profile(df, crm(spark, ("missing", "Id")), rules="crm")
+    with pytest.raises(ValueError, match="read_as"):
+        profile(df, crm(spark, ("Id", "Id")), rules="crm", read_as="tape")
     with pytest.raises(ValueError):
         statistics_for(crm(spark), "other")
     with pytest.raises(ValueError):
