@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -16,7 +18,13 @@ from evenframe.operators import (
     staged_diff,
     target_fields,
 )
-from evenframe.sources import STAGING_SCHEMA
+from evenframe.sources import (
+    BAR_DOLLAR,
+    RECORD_SEPARATOR,
+    STAGING_SCHEMA,
+    read_delimited,
+    write_staged,
+)
 
 FIELDS = [
     ("Id", "primary", "T_ID", "VARCHAR", None),
@@ -162,3 +170,36 @@ def test_column_count_check(spark):
     assert column_count_check(metadata, "S_pts_Acc", two).count() == 0
     one = two.limit(1)
     assert rows(column_count_check(metadata, "S_PTS_ACC", one)) == [(2,)]
+
+
+def test_from_files_to_checks(spark, folder):
+    """Files, provenance, staging, stored table, then the three checks."""
+    for name, lines in (
+        ("day1/a.csv", [("1", " one ", "2024-01-01"), ("2", "two\nlines", "2024-01-01")]),
+        ("day2/b.csv", [("1", "ONE", "2024-01-02"), ("3", "", "2024-01-02")]),
+    ):
+        path = Path(folder, "files", name)
+        path.parent.mkdir(parents=True)
+        records = [("Id", "Name", "Stamp"), *lines]
+        path.write_text("".join("|$".join(r) + "\u001e" for r in records), newline="")
+    read = read_delimited(
+        spark, f"{folder}/files", BAR_DOLLAR, RECORD_SEPARATOR, with_file=True
+    )
+    maps = map_header(header_frame(read.drop("filename")), dictionary(spark))
+    staged = write_staged(stage_table(read, maps), f"{folder}/staged")
+    latest = staged.where("cnt = 1")
+    assert staged.count() == 4
+    assert rows(latest.select("T_ID", "T_NAM", "SYS_MST_DAT")) == [
+        ("1", "ONE", "2024-01-02"), ("2", "two\nlines", "2024-01-01"), ("3", "#", "2024-01-02"),
+    ]
+    assert {r[0].rsplit("/", 1)[1] for r in latest.select("filename").collect()} == {
+        "a.csv", "b.csv",
+    }
+    target = latest.select(*target_fields(maps))
+    assert row_count_check(staged, target).count() == 0
+    assert staged_diff(staged, target, target_fields(maps)).count() == 0
+    assert duplicate_keys(target, key_fields(maps)).count() == 0
+    short = target.where("T_ID <> '3'")
+    assert rows(row_count_check(staged, short)) == [(3,)]
+    assert rows(staged_diff(staged, short, ["T_ID"])) == [("EXPECTED", "3")]
+    assert duplicate_keys(target.unionByName(short), key_fields(maps)).count() == 2
