@@ -33,6 +33,12 @@ from evenframe.sources import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:  # the training-data operators may be left out
+    import corpus_pipeline
+    from evenframe.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 LINE_COLUMNS = [
@@ -718,7 +724,10 @@ def queries() -> dict[str, Query]:
         csv_roundtrip, csv_inferred_roundtrip, csv_record_separator_roundtrip,
         tsv_borrowed_roundtrip, compare_files,
     ]
-    return {query.__name__: query for query in found}
+    named = {query.__name__: query for query in found}
+    if llm is not None:
+        named |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return named
 
 
 # --- the same results in SQL ------------------------------------------------
@@ -883,7 +892,7 @@ def oracle_sql() -> dict[str, str]:
     def suite_row(name: str, expected: str, actual: str, n: int) -> str:
         return f"SELECT * FROM ({_two_way_sql(name, expected, actual, n)})"
 
-    return {
+    stated = {
         "compare_two_way": _two_way_sql(
             "lineitem", "SELECT * FROM lineitem", CHANGED_LINEITEM, 11
         ),
@@ -1077,3 +1086,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM custom
         "tsv_borrowed_roundtrip": "SELECT * FROM orders",
         "compare_files": _two_way_sql("orders", "SELECT * FROM orders", CHANGED_ORDERS, 6),
     }
+    if llm is not None:
+        stated |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            stated["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return stated

@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import math
+import re
 from pathlib import Path
 
 import duckdb
@@ -11,7 +12,13 @@ import __spark_entry__ as entry_file
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
 
-QUERIES, ORACLE = entry_file.queries(), entry_file.oracle_sql()
+def reconciliation(named):
+    """The queries of this package's core; the others have tests of their own."""
+    return {n: q for n, q in named.items() if not re.match(r"op\d+_|pipeline$", n)}
+
+
+QUERIES = reconciliation(entry_file.queries())
+ORACLE = reconciliation(entry_file.oracle_sql())
 
 
 @pytest.fixture(scope="module")
