@@ -23,7 +23,7 @@ MOST_REPEATED_PERCENT = 50
 METRICS = {
     "word_length": ("100 * word_chars div nullif(n_words, 0)", 150),  # hundredths of a code point
     "symbols": ("1000 * n_symbols div nullif(n_words, 0)", 100),  # per thousand words
-    "dup_lines": ("1000 * n_dup_lines div nullif(n_lines, 0)", 300),  # per thousand lines with a word
+    "dup_lines": ("1000 * n_dup_lines div nullif(n_lines, 0)", 500),  # per thousand lines with a word
     "repeats": ("1000 * n_repeat_words div nullif(n_words, 0)", 200),  # per thousand words
 }
 FENCE = 3
