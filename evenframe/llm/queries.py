@@ -6,17 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import preference_digests, preference_segments, shortened_answers
 from .common import LOWER, UPPER
 from .exact_dedup import exact_dedup
+from .language import language_id
 from .line_dedup import BLANKS, line_dedup
 from .packing import pack
 from .quality import BITS, FENCE, LEAST_GROUP, METRICS, MIN_WORDS, MOST_REPEATED_PERCENT, SYMBOLS, quality_rules
+from .toxicity import fit, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id(documents(spark, folder))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(documents(spark, folder))
 
@@ -25,6 +32,17 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack(documents(spark, folder))
 
 
+def op4_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation against one whose last answer is cut to its first line."""
+    chosen = spark.read.parquet(f"{folder}/conversations.parquet")
+    return preference_digests(preference_segments(chosen, shortened_answers(chosen)))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return toxicity(docs, fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(documents(spark, folder))
 
@@ -34,8 +52,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_pack": op3_pack,
+    "op4_preferences": op4_preferences,
+    "op5_toxicity": op5_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -144,8 +165,37 @@ FROM (SELECT c.*, w.* EXCLUDE (lang, source),
       FROM counted c LEFT JOIN wide w ON c.lang IS NOT DISTINCT FROM w.lang AND c.source IS NOT DISTINCT FROM w.source)
 """
 
+PREFERENCES_SQL = """
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+last AS (
+  SELECT conv_id AS conv_2, max(turn) AS last_turn FROM conversations WHERE role = 'assistant' GROUP BY 1),
+cut AS (
+  SELECT conv_id, turn, role,
+         CASE WHEN turn = last_turn AND role = 'assistant' THEN split_part(text, chr(10), 1) ELSE text END AS text
+  FROM given LEFT JOIN last ON conv_id = conv_2),
+chosen AS (SELECT DISTINCT * FROM given), rejected AS (SELECT DISTINCT * FROM cut),
+differing AS (
+  (SELECT * FROM chosen EXCEPT SELECT * FROM rejected) UNION ALL
+  (SELECT * FROM rejected EXCEPT SELECT * FROM chosen)),
+breaks AS (SELECT conv_id, min(turn) AS first_difference FROM differing GROUP BY conv_id),
+parts AS (
+  SELECT CASE WHEN turn >= first_difference THEN 'chosen' ELSE 'prompt' END AS part, c.*
+  FROM chosen c LEFT JOIN breaks USING (conv_id)
+  UNION ALL
+  SELECT 'rejected', r.* FROM rejected r JOIN breaks USING (conv_id)
+  WHERE turn >= first_difference),
+rendered AS (
+  SELECT *, '<|' || replace(role, '<|', '< |') || '|>' || chr(10) AS header,
+         replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body FROM parts)
+SELECT conv_id, part, turn, role, part <> 'prompt' AND role = 'assistant' AS learn,
+       length(header) AS header_chars, length(body) AS body_chars, sha256(header || body) AS sha256
+FROM rendered
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP_SQL,
+    "op4_preferences": PREFERENCES_SQL,
     "op8_line_dedup": LINE_DEDUP_SQL,
     "op10_quality_rules": QUALITY_SQL,
 }
