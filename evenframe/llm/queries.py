@@ -13,6 +13,7 @@ from .language import language_id
 from .line_dedup import BLANKS, line_dedup
 from .packing import pack
 from .quality import BITS, FENCE, LEAST_GROUP, METRICS, MIN_WORDS, MOST_REPEATED_PERCENT, SYMBOLS, quality_rules
+from .shingle_join import shingle_components
 from .toxicity import fit, toxicity
 
 
@@ -43,6 +44,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(docs, fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
 
 
+def op6_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_components(documents(spark, folder))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(documents(spark, folder))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pack": op3_pack,
     "op4_preferences": op4_preferences,
     "op5_toxicity": op5_toxicity,
+    "op6_shingle_join": op6_shingle_join,
     "op8_line_dedup": op8_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -193,9 +199,34 @@ SELECT conv_id, part, turn, role, part <> 'prompt' AND role = 'assistant' AS lea
 FROM rendered
 """
 
+SHINGLE_JOIN_SQL = f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, regexp_extract_all({CONTENT}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+                      WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                      ELSE list_distinct([array_to_string(words[i:i+4], ' ') FOR i IN range(1, len(words) - 3)])
+                 END AS s
+  FROM base),
+sized AS (SELECT doc_id, s, CAST(len(s) AS BIGINT) AS n FROM sets),
+items AS (SELECT doc_id, n, unnest(s) AS x FROM sized),
+pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS both_have
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+links AS (SELECT u, v FROM pairs WHERE 100 * both_have >= 80 * (n + m - both_have)),
+edges AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (
+  SELECT doc_id AS u, doc_id AS v FROM documents
+  UNION SELECT r.u, e.v FROM reach r JOIN edges e ON r.v = e.u)
+SELECT s.doc_id, s.n AS n_shingles, c.component_id
+FROM sized s JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY u) c ON s.doc_id = c.u
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP_SQL,
     "op4_preferences": PREFERENCES_SQL,
+    "op6_shingle_join": SHINGLE_JOIN_SQL,
     "op8_line_dedup": LINE_DEDUP_SQL,
     "op10_quality_rules": QUALITY_SQL,
 }
