@@ -69,3 +69,69 @@ def each_batch(work: Work) -> Partition:
             yield from work(batch)
 
     return run
+
+
+#: Groups of documents per shuffle partition.
+GROUPS = 8
+#: A token is 48 bits of a hash; 16 bits below it hold a count.
+LOW = 16
+MOST = 2**LOW - 1
+
+
+def grouped(docs: DataFrame, id_column: str, text_column: str, rest: list[str] | None = None) -> DataFrame:
+    """``id, row, text, batch``: documents dealt into small groups by their content.
+
+    ``row`` is the xxhash64 of the text. A group is the same however often and
+    in whatever order the input is read. ``rest`` names columns that come along
+    as a struct of that name.
+    """
+    rows = texts(docs, id_column, text_column) if rest is None else docs.select(
+        docs[id_column].cast("long").alias("id"),
+        F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"),
+        F.struct(*[docs[c] for c in rest]).alias("rest"),
+    )
+    rows = rows.withColumn("row", F.xxhash64("text"))
+    return rows.withColumn("batch", F.pmod(F.xxhash64("id", "row"), F.lit(GROUPS * partitions_of(docs))))
+
+
+def dealt_tokens(lists: list[np.ndarray], batch: int, n_buckets: int) -> pa.Table:
+    """The tokens of a group's documents, ``bucket, batch, tokens``.
+
+    Each token comes once, with the number of documents that have it, so one
+    that every document has costs a group one number.
+    """
+    found, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *lists]), return_counts=True)
+    packed = found << np.uint64(LOW) | np.minimum(counts, MOST).astype(np.uint64)
+    bucket = (found % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+    used = np.flatnonzero(np.diff(edges))
+    blobs = [packed[order[edges[b] : edges[b + 1]]].tobytes() for b in used.tolist()]
+    columns = [pa.array(used, pa.int64()), pa.array([batch] * len(used), pa.int64()), pa.array(blobs, pa.binary())]
+    return pa.table(columns, names=["bucket", "batch", "tokens"])
+
+
+def shared_tokens(table: pa.Table) -> pa.Table:
+    """Of a bucket's tokens those of two documents or more, given back to each group.
+
+    The reply holds them with the number of their documents.
+    """
+    blobs = table.column("tokens").to_pylist()
+    packed = np.frombuffer(b"".join(blobs), np.uint64)
+    found = packed >> np.uint64(LOW)
+    values, at = np.unique(found, return_inverse=True)
+    rows = np.bincount(at, (packed & np.uint64(MOST)).astype(float), len(values)).astype(np.int64)
+    rows = np.minimum(rows, MOST)[at]
+    reply = found << np.uint64(LOW) | rows.astype(np.uint64)
+    ends = np.cumsum([len(b) // 8 for b in blobs]).tolist()
+    out = [
+        reply[start:end][rows[start:end] > 1].tobytes()
+        for start, end in zip([0, *ends[:-1]], ends, strict=True)
+    ]
+    return pa.table({"batch": table.column("batch"), "reply": pa.array(out, pa.binary())})
+
+
+def known_tokens(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The shared tokens of a group in order, and the number of their documents."""
+    packed = np.sort(np.frombuffer(b"".join(blobs), np.uint64))
+    return packed >> np.uint64(LOW), (packed & np.uint64(MOST)).astype(np.int64)

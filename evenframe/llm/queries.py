@@ -14,6 +14,7 @@ from .line_dedup import BLANKS, line_dedup
 from .packing import pack
 from .quality import BITS, FENCE, LEAST_GROUP, METRICS, MIN_WORDS, MOST_REPEATED_PERCENT, SYMBOLS, quality_rules
 from .shingle_join import shingle_components
+from .suffix_dedup import suffix_dedup
 from .toxicity import fit, toxicity
 
 
@@ -52,6 +53,10 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(documents(spark, folder))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(documents(spark, folder))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_shingle_join": op6_shingle_join,
     "op8_line_dedup": op8_line_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -223,10 +229,40 @@ SELECT s.doc_id, s.n AS n_shingles, c.component_id
 FROM sized s JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY u) c ON s.doc_id = c.u
 """
 
+SUFFIX_DEDUP_SQL = """
+WITH base AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM base),
+starts AS (
+  SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS s FROM sized)),
+firsts AS (SELECT w, min(doc_id) AS first_id FROM starts GROUP BY w),
+late AS (
+  SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS prev
+  FROM starts JOIN firsts USING (w) WHERE first_id < doc_id),
+numbered AS (
+  SELECT doc_id, s, sum(CASE WHEN prev IS NULL OR s > prev + 50 THEN 1 ELSE 0 END)
+         OVER (PARTITION BY doc_id ORDER BY s) AS span FROM late),
+spans AS (
+  SELECT doc_id, span, min(s) AS b, max(s) + 50 AS e FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY b) AS b, b AS e FROM spans
+  UNION ALL
+  SELECT doc_id, coalesce(max(e), 0), any_value(n) FROM sized LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, coalesce(string_agg(substr(h, 2 * b + 1, 2 * (e - b)), '' ORDER BY b), '') AS rest
+  FROM gaps JOIN sized USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, n - length(rest) // 2 AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(rest)) AS kept_sha256
+FROM sized JOIN kept USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n_spans FROM spans GROUP BY doc_id) USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": EXACT_DEDUP_SQL,
     "op4_preferences": PREFERENCES_SQL,
     "op6_shingle_join": SHINGLE_JOIN_SQL,
     "op8_line_dedup": LINE_DEDUP_SQL,
+    "op9_suffix_dedup": SUFFIX_DEDUP_SQL,
     "op10_quality_rules": QUALITY_SQL,
 }
