@@ -17,6 +17,8 @@ PROFILE = 400
 MOST_LANGUAGES = 1000
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNDETERMINED = "und"
+#: Texts of a lower score resemble none of the languages.
+LEAST_SCORE = 0.3
 BLANK = 32
 
 
@@ -124,7 +126,7 @@ class Profiles:
         return np.where(ranks < 0, PROFILE, np.minimum(off, PROFILE)).sum(axis=0)
 
 
-def _predicted(profiles: dict[str, list[int]]):
+def _predicted(profiles: dict[str, list[int]], carried: list[str]):
     table = Profiles(profiles)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -142,9 +144,9 @@ def _predicted(profiles: dict[str, list[int]]):
             langs.append(table.langs[best])
             scores.append(float(1 - off[best]))
             margins.append(float(rest - off[best]))
-        columns = [batch.column("id"), batch.column("held_out")]
+        columns = [batch.column(c) for c in carried]
         columns += [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score", "margin"])
+        yield pa.RecordBatch.from_arrays(columns, names=[*carried, "lang_pred", "score", "margin"])
 
     return work
 
@@ -165,12 +167,12 @@ def identify(
     gives no row; further columns are ignored.
     """
     rows = docs.select(
-        docs[id_column].cast("long").alias("id"),
+        docs[id_column].cast("long").alias("doc_id"),
         (fold(docs[id_column], FOLDS) == HELD_OUT_FOLD).alias("held_out"),
         F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"),
     )
     return rows.mapInArrow(
-        per_batch(_predicted(profiles), "text"),
+        per_batch(_predicted(profiles, ["doc_id", "held_out"]), "text"),
         "doc_id long, held_out boolean, lang_pred string, score double, margin double",
     )
 
@@ -181,3 +183,33 @@ def language_id(
     """:func:`identify` with profiles learned from the documents not held out."""
     learned = docs.where(fold(docs[id_column], FOLDS) != HELD_OUT_FOLD)
     return identify(docs, learn_profiles(learned, text_column, lang_column), id_column, text_column)
+
+
+def keep_identified(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    lang_column: str = "lang",
+    least_score: float = LEAST_SCORE,
+) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, with all their columns.
+
+    Rejected are texts without a letter, and those whose n-grams lie so far from
+    every profile that the score is below ``least_score``. Where no language can
+    be learned, every row stays.
+    """
+    learned = docs.where(fold(docs[id_column], FOLDS) != HELD_OUT_FOLD)
+    profiles = learn_profiles(learned, text_column, lang_column)
+    if not profiles:
+        return docs
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("rest"),
+        F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"),
+    )
+    kind = rows.schema["rest"].dataType.simpleString()
+    judged = rows.mapInArrow(
+        per_batch(_predicted(profiles, ["rest"]), "text"),
+        f"rest {kind}, lang_pred string, score double, margin double",
+    )
+    kept = judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score))
+    return kept.select([F.col(f"rest.`{c}`") for c in docs.columns])
