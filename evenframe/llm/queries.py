@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .language import language_id
 from .line_dedup import BLANKS, line_dedup
 from .packing import pack
+from .pieces import encode
 from .quality import BITS, FENCE, LEAST_GROUP, METRICS, MIN_WORDS, MOST_REPEATED_PERCENT, SYMBOLS, quality_rules
 from .shingle_join import shingle_components
 from .suffix_dedup import suffix_dedup
@@ -49,6 +50,10 @@ def op6_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_components(documents(spark, folder))
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode(documents(spark, folder), digests=True)
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(documents(spark, folder))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_preferences": op4_preferences,
     "op5_toxicity": op5_toxicity,
     "op6_shingle_join": op6_shingle_join,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
