@@ -22,9 +22,11 @@ from .common import each_batch, small_batches, texts
 
 SPACE = "▁"
 #: Words whose lattices are built as tables, the most frequent ones, and their longest length.
-FREQUENT, LONGEST = 100_000, 40
+FREQUENT, LONGEST = 50_000, 40
 #: Other words that a worker process remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Words up to this length are merged without a heap.
+SHORT = 24
 #: Below every path: the score of a character that is no piece.
 UNKNOWN_PENALTY = 10.0
 #: Model types of the file format.
@@ -142,9 +144,30 @@ def best_path(word: str, table: PieceTable) -> list[int]:
     return [i for part in reversed(ids) for i in part]
 
 
+def _merged_short(word: str, table: PieceTable) -> list[int]:
+    """The same as :func:`merged`, looking at all neighbours each time."""
+    parts, get = list(word), table.pieces.get
+    while len(parts) > 1:
+        best, at = None, -1
+        for i, pair in enumerate(map(str.__add__, parts, parts[1:])):
+            found = get(pair)
+            if found is not None and (best is None or found[1] > best):
+                best, at = found[1], i
+        if best is None:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    ids: list[int] = []
+    for part in parts:
+        found = get(part)
+        ids += [found[0]] if found else _fallback(table, part)
+    return ids
+
+
 def merged(word: str, table: PieceTable) -> list[int]:
     """Merges the neighbours of greatest score, the leftmost of equals, until none is a piece."""
     n = len(word)
+    if n <= SHORT:
+        return _merged_short(word, table)
     right, left = list(range(1, n + 1)), list(range(-1, n - 1))
     stop = list(range(1, n + 1))
     heap: list[tuple[float, int, int]] = []
@@ -231,7 +254,10 @@ def _merge() -> str:
 
 
 def segmented(words: DataFrame, table: PieceTable) -> DataFrame:
-    """``word, best, ids``: the best path, and the ids that the model's type gives."""
+    """``word, best, ids``: the best path, and the ids that the model's type gives.
+
+    Words with a character that is no piece are left out.
+    """
     rows = lattice(words, table).withColumn("n", F.char_length("word"))
     ways, back = _viterbi()
     rows = rows.withColumn("ways", F.expr(ways)).withColumn("path", F.expr(back))
@@ -246,14 +272,9 @@ def segmented(words: DataFrame, table: PieceTable) -> DataFrame:
         )
     else:
         rows = rows.withColumn("merged", F.col("path"))
-    return rows.select("word", F.col("path").alias("best"), F.col("merged").alias("ids"))
-
-
-def _spell(word: str, parts: list, table: PieceTable) -> bytes:
-    ids: list[int] = []
-    for p in parts:
-        ids += [p["id"]] if p["id"] >= 0 else _fallback(table, word[p["start"] : p["stop"]])
-    return pack(f"<{len(ids)}I", *ids)
+    known = F.forall("edges", lambda e: e["id"] >= 0)
+    ids = [F.transform(c, lambda p: p["id"]).alias(a) for c, a in (("path", "best"), ("merged", "ids"))]
+    return rows.where(known).select("word", *ids)
 
 
 def frequent_words(rows: DataFrame, table: PieceTable, most: int = FREQUENT) -> DataFrame:
@@ -341,7 +362,8 @@ def encode(
     The ``frequent`` most frequent words are segmented as tables (:func:`lattice`)
     and spread to the tasks: a bounded number of words of bounded length. Words
     beyond them are folded in the same way where they occur, whatever their
-    length, so the documents themselves are not shuffled.
+    length, so the documents themselves are not shuffled. So are words with a
+    character that is no piece.
 
     ``digests`` gives sizes, checksums and ``round_trip``, whether decoding gives
     the text back, in place of the numbers. Null and empty texts have no ids.
@@ -351,7 +373,8 @@ def encode(
     rows = texts(docs, id_column, text_column)
     common = durable(frequent_words(rows, table, frequent))
     found = segmented(common, table).collect()
-    known = {r["word"]: (_spell(r["word"], r["best"], table), _spell(r["word"], r["ids"], table)) for r in found}
+    known = {r[0]: (pack(f"<{len(r[1])}I", *r[1]), pack(f"<{len(r[2])}I", *r[2])) for r in found}
+    del found
     context = docs.sparkSession.sparkContext
     spread = context.broadcast((known, table))
     kinds = "n_ids long, ids_crc32 long, n_best long, best_crc32 long, round_trip boolean" if digests else "ids binary, best binary"
