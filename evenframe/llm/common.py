@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Bytes of text that a Python worker handles at a time.
-BATCH_BYTES = 8 * 1024**2
+BATCH_BYTES = 2 * 1024**2
 
 
 def ascii_lower(column: Column) -> Column:
@@ -72,7 +72,7 @@ def each_batch(work: Work) -> Partition:
 
 
 #: Groups of documents per shuffle partition.
-GROUPS = 8
+GROUPS = 1
 #: A token is 48 bits of a hash; 16 bits below it hold a count.
 LOW = 16
 MOST = 2**LOW - 1
