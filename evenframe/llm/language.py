@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_batch
+from .common import per_batch, small_batches
 
 #: Ranks of a profile, and n-grams of a document that are compared with it.
 PROFILE = 400
 #: Most languages that profiles are learned for, those with most documents.
 MOST_LANGUAGES = 1000
+#: Counts that a task keeps before it gives them away.
+HELD_GRAMS = 1_000_000
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNDETERMINED = "und"
 #: Texts of a lower score resemble none of the languages.
@@ -63,17 +65,31 @@ def ranked(codes: np.ndarray, most: int = PROFILE) -> np.ndarray:
     return values[np.lexsort((values, -counts))[:most]]
 
 
-def _gram_counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    by_lang: dict[str, list[np.ndarray]] = {}
-    langs = batch.column("lang").to_pylist()
-    for lang, codes in zip(langs, grams(batch.column("text").to_pylist()), strict=True):
-        by_lang.setdefault(lang, []).append(codes)
-    for lang, parts in by_lang.items():
-        values, counts = np.unique(np.concatenate(parts), return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(values), pa.string()), pa.array(values), pa.array(counts)],
-            names=["lang", "gram", "n"],
-        )
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a partition's n-grams by language, given away when there are many."""
+    known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def given() -> Iterator[pa.RecordBatch]:
+        for lang, (values, counts) in known.items():
+            columns = [pa.array([lang] * len(values), pa.string()), pa.array(values), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+        known.clear()
+
+    for batch in small_batches(batches, "text"):
+        by_lang: dict[str, list[np.ndarray]] = {}
+        langs = batch.column("lang").to_pylist()
+        for lang, codes in zip(langs, grams(batch.column("text").to_pylist()), strict=True):
+            by_lang.setdefault(lang, []).append(codes)
+        for lang, parts in by_lang.items():
+            found = np.unique(np.concatenate(parts), return_counts=True)
+            if lang in known:
+                both = [np.concatenate(x) for x in zip(known[lang], found, strict=True)]
+                values, at = np.unique(both[0], return_inverse=True)
+                found = values, np.bincount(at, both[1], len(values)).astype(np.int64)
+            known[lang] = found
+        if sum(len(v) for v, _ in known.values()) > HELD_GRAMS:
+            yield from given()
+    yield from given()
 
 
 def learn_profiles(
@@ -90,7 +106,7 @@ def learn_profiles(
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     counts = (
-        rows.mapInArrow(per_batch(_gram_counts, "text"), "lang string, gram long, n long")
+        rows.mapInArrow(_gram_counts, "lang string, gram long, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .join(F.broadcast(common.select("lang")), "lang")
