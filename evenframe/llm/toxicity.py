@@ -14,7 +14,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch
+from evenframe.functions.durable import durable
+
+from .common import per_batch, texts
 from .language import fold
 
 FOLDS, HELD_OUT_FOLD = 5, 0
@@ -37,16 +39,29 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _examples(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    words, signatures = [], []
+def _signatures(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    signatures = []
     for text in batch.column("text").to_pylist():
         found = words_of(text)
-        words.append(sorted(set(found)))
         runs = {" ".join(found[i : i + SHINGLE]) for i in range(max(1, len(found) - SHINGLE + 1))}
         signatures.append([min(xxhash.xxh3_64_intdigest(r, seed) for r in runs) >> 1 for seed in range(SIGNATURES)])
-    columns = [batch.column("id"), batch.column("text"), batch.column("toxic"), pa.array(words, pa.list_(pa.string()))]
-    columns += [pa.array([s[i] for s in signatures], pa.int64()) for i in range(SIGNATURES)]
-    yield pa.RecordBatch.from_arrays(columns, names=["id", "text", "toxic", "words", *(f"s{i}" for i in range(SIGNATURES))])
+    columns = [batch.column("id"), batch.column("row"), pa.array(signatures, pa.list_(pa.int64()))]
+    yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "signature"])
+
+
+def _distinct_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    words = [sorted(set(words_of(t))) for t in batch.column("text").to_pylist()]
+    yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(words, pa.list_(pa.string()))], names=["toxic", "words"])
+
+
+def _counted(known: dict[str, int]):
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        counts = [Counter(known[w] for w in words_of(t) if w in known) for t in batch.column("text").to_pylist()]
+        columns = [batch.column(c) for c in ("id", "row", "toxic")]
+        columns += [pa.array([f(c) for c in counts], pa.list_(pa.int64())) for f in (lambda c: list(c.keys()), lambda c: list(c.values()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "toxic", "at", "n"])
+
+    return work
 
 
 @dataclass
@@ -170,39 +185,36 @@ def fit(
     drawn = [r for d in drawn for r in d.collect()]
     spark = docs.sparkSession
     sample = spark.createDataFrame([(r[0], r[1]) for r in drawn], "rated_id long, toxic int")
-    rows = docs.select(
-        docs[id_column].cast("long").alias("id"),
-        F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"),
-    )
-    rows = rows.join(F.broadcast(sample), F.col("id") == F.col("rated_id")).select("id", "text", "toxic")
-    kinds = ", ".join(f"s{i} long" for i in range(SIGNATURES))
-    found = rows.mapInArrow(
-        per_batch(_examples, "text"), f"id long, text string, toxic int, words array<string>, {kinds}"
-    ).collect()
-    found.sort(key=lambda r: (r["id"], r["text"]))
+    rows = texts(docs, id_column, text_column).withColumn("row", F.xxhash64("text"))
+    rows = rows.join(F.broadcast(sample), F.col("id") == F.col("rated_id"))
+    drawn_texts = durable(rows.select("id", "row", "text", "toxic"))
+    signed = drawn_texts.mapInArrow(per_batch(_signatures, "text"), "id long, row long, signature array<long>").collect()
     seen: set[tuple[int, int]] = set()
-    kept = []
-    for r in found:
-        signature = {(i, r[f"s{i}"]) for i in range(SIGNATURES)}
+    first = []
+    for r in sorted(signed, key=lambda r: (r["id"], r["row"])):
+        signature = set(enumerate(r["signature"]))
         if not signature & seen:
-            kept.append(r)
+            first.append((r["id"], r["row"]))
         seen |= signature
-    sizes = Counter(r["toxic"] for r in kept)
+    firsts = spark.createDataFrame(first, "id long, row long")
+    kept = drawn_texts.join(F.broadcast(firsts), ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
+    sizes = {r["toxic"]: r["n"] for r in kept.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
     empty = np.zeros(0)
     model = Model({}, empty, prior, prior, np.zeros(0, np.int64), empty, empty)
     if len(sizes) < 2:
         return model
-    hits = [Counter(w for r in kept if r["toxic"] == y for w in r["words"]) for y in (0, 1)]
-    marked = []
-    for w, a in hits[1].items():
-        b = hits[0][w]
-        c, d = sizes[1] - a, sizes[0] - b
-        if a + b >= LEAST_SEEN and a * d > b * c:
-            chi2 = (a + b + c + d) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d) or 1)
-            if chi2 >= LEAST_CHI2:
-                marked.append((-chi2, w))
-    chosen = [w for _, w in sorted(marked)[:WORDS]]
+    hits = (
+        kept.mapInArrow(per_batch(_distinct_words, "text"), "toxic int, words array<string>")
+        .select("toxic", F.explode("words").alias("word"))
+        .groupBy("word")
+        .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+        .withColumns({"c": F.lit(float(sizes[1])) - F.col("a"), "d": F.lit(float(sizes[0])) - F.col("b")})
+        .where((F.col("a") + F.col("b") >= LEAST_SEEN) & (F.expr("a * d > b * c")))
+        .withColumn("chi2", F.expr("(a+b+c+d) * pow(a*d - b*c, 2) / greatest((a+b)*(c+d)*(a+c)*(b+d), 1D)"))
+        .where(F.col("chi2") >= LEAST_CHI2)
+    )
+    chosen = [r["word"] for r in hits.orderBy(F.desc("chi2"), "word").limit(WORDS).select("word").collect()]
     if not chosen:
         return model
     every = docs.select(F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"))
@@ -212,7 +224,11 @@ def fit(
     model.words = {w: i for i, w in enumerate(chosen)}
     model.idf = np.array([1 + math.log((1 + n_docs) / (1 + df.get(w, 0))) for w in chosen])
     share = {y: totals[y] / sizes[y] for y in (0, 1)}
-    counts = [(r, model.counts(r["text"])) for r in kept]
+    rows = kept.mapInArrow(
+        per_batch(_counted(model.words), "text"), "id long, row long, toxic int, at array<long>, n array<long>"
+    ).collect()
+    rows.sort(key=lambda r: (r["id"], r["row"]))
+    counts = [(r, dict(zip(r["at"], r["n"], strict=True))) for r in rows]
     blank = Counter(r["toxic"] for r, c in counts if not c)
     mass = {y: blank[y] * share[y] for y in (0, 1)}
     model.blank_rate = mass[1] / (mass[0] + mass[1]) if blank else prior
