@@ -105,7 +105,8 @@ def diff_rows(
     """The rows one side has more often than the other, once per extra copy.
 
     Extra copies of one row are written out in chunks. Rows with more copies
-    than one chunk holds get their chunks spread over all tasks before.
+    than one chunk holds get their chunks spread over all tasks before, by row
+    and chunk.
     """
     copies, chunk = "__copies", "__chunk"
     more_expected = F.col(N_EXPECTED) > F.col(N_ACTUAL)
@@ -126,7 +127,7 @@ def diff_rows(
             ),
         )
         .withColumn(copies, F.least(size, F.col(copies) - F.col(chunk) * size))
-        .repartition(partitions, chunk)
+        .repartition(partitions, chunk, *[c for c in extra.columns if c != copies])
         .drop(chunk)
     )
     written = few.union(many).withColumn(

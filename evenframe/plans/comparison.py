@@ -136,12 +136,23 @@ def _one_way(sides: Aligned, table: str, keys: Sequence[str] | None) -> DataFram
     return _one_way_report(row, sides, table)
 
 
-def _one_way_report(row: DataFrame, sides: Aligned, table: str) -> DataFrame:
+NO_ROW_COUNT = "a profile has no row count"
+
+
+def _one_way_report(
+    row: DataFrame, sides: Aligned, table: str, uncounted: Column | None = None
+) -> DataFrame:
+    """``uncounted`` tells that a row count is missing, which fails whatever else agrees."""
     lacks_nothing = F.col("expected_minus_actual") == 0
+    uncounted = F.lit(False) if uncounted is None else uncounted
+    notes = F.lit("; ".join(sides.notes))
+    why = F.lit("; ".join([NO_ROW_COUNT, *sides.notes]))
     values = {
         "Table": F.lit(table),
-        "Status": R.status(R.same(("expected_rows", "actual_rows")) & lacks_nothing),
-        "Details": F.lit("; ".join(sides.notes)),
+        "Status": R.status(
+            R.same(("expected_rows", "actual_rows")) & lacks_nothing & ~uncounted
+        ),
+        "Details": F.when(uncounted, why).otherwise(notes),
         "Expected rows": F.col("expected_rows"),
         "Actual rows": F.col("actual_rows"),
         "Data Comparison": F.when(lacks_nothing, R.MATCHING).otherwise(R.MISMATCHING),
@@ -226,7 +237,8 @@ def compare_profiles(
         of_side(N_EXPECTED, f"c{rows_e}").cast("string").alias("expected_rows"),
         of_side(N_ACTUAL, f"c{rows_a}").cast("string").alias("actual_rows"),
     )
-    return _one_way_report(row, sides, table)
+    uncounted = F.col("expected_rows").isNull() | F.col("actual_rows").isNull()
+    return _one_way_report(row, sides, table, uncounted)
 
 
 def _row_count(df: DataFrame, side: str) -> DataFrame:

@@ -80,9 +80,8 @@ def _report_row(spark: SparkSession, spec: TableSpec):
 
 
 def _message(error: Exception) -> str:
-    """First line of the error, which names its kind and object."""
-    lines = str(error).strip().splitlines()
-    return lines[0][:500] if lines else type(error).__name__
+    """The whole text of the error, or its kind where it has none."""
+    return str(error).strip() or type(error).__name__
 
 
 @dataclass(frozen=True)

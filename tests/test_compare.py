@@ -277,3 +277,9 @@ def test_equally_partitioned_sides_are_not_shuffled_again(spark):
     assert report(report_frame)["Status"] == "Failed"
     plan = report_frame._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(c0" not in plan
+
+
+def test_profiles_without_rows_fail(spark):
+    empty = spark.createDataFrame([], "TOTAL_ROW_COUNT long, a long")
+    report = compare_profiles(empty, empty).first()
+    assert report["Status"] == "Failed" and "row count" in report["Details"]
