@@ -242,6 +242,8 @@ ERP_ROWS = [
     ("lineitem", "l_linestatus", "LANG", None),
     ("lineitem", "l_shipdate", "DATS", None),
     ("orders", "o_orderkey", "INT8", 0),
+    ("small", "price", "DEC", 9),
+    ("small", "price_text", "CURR", 9),
 ]
 CRM_ROWS = [
     ("orders", "o_orderkey", "Id"),
@@ -260,6 +262,8 @@ CRM_ROWS = [
     ("labels", "doc_id", "Number(18, 0)"),
     ("labels", "quality", "Checkbox"),
     ("labels", "toxic", "Boolean"),
+    ("returns", "returned", "Checkbox"),
+    ("returns", "l_orderkey", "Number(18, 0)"),
 ]
 STAGING_ROWS = [
     ("Account", "Id", "string", "primary", "R_ACC", "ACC_ID", "VARCHAR", None),
@@ -336,6 +340,31 @@ def compare_structure(spark: SparkSession, folder: str) -> DataFrame:
     return ef.compare(lineitem, changed_lineitem(spark, folder).drop("l_tax"), "lineitem")
 
 
+def compare_extra_column(spark: SparkSession, folder: str) -> DataFrame:
+    """Sides that are equal in the listed columns, one of them with a column more."""
+    lineitem = table(spark, folder, "lineitem")
+    more = lineitem.withColumn("l_note", F.lit("x"))
+    return ef.compare(lineitem, more, "lineitem", columns=lineitem.columns)
+
+
+def compare_wide_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers beyond 2^53 against the doubles next to them."""
+    wide = table(spark, folder, "orders").select(
+        (F.col("o_orderkey") + F.lit(2**53)).cast("bigint").alias("id")
+    )
+    return ef.compare(wide, wide.select(F.col("id").cast("double").alias("id")), "orders")
+
+
+def compare_empty_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile files without a row have no row counts to agree on."""
+    profiles = ef.profile(
+        table(spark, folder, "lineitem"),
+        erp(spark, "lineitem"),
+        change_column="l_shipdate",
+    ).where("TOTAL_ROW_COUNT < 0")
+    return ef.compare_profiles(profiles, profiles, "lineitem")
+
+
 def compare_text(spark: SparkSession, folder: str) -> DataFrame:
     return ef.compare(
         table(spark, folder, "documents"), changed_documents(spark, folder), "documents"
@@ -536,6 +565,30 @@ def profile_crm_flags(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def profile_small_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of doubles and texts that lie below the digits of the result."""
+    small = table(spark, folder, "lineitem").select(
+        "l_shipdate",
+        (F.col("l_extendedprice") * F.lit(1e-15)).alias("price"),
+        (F.col("l_extendedprice") * F.lit(1e-15)).cast("string").alias("price_text"),
+    )
+    return ef.profile(small, erp(spark, "small"), change_column="l_shipdate")
+
+
+def profile_number_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags that are texts of numbers count as these numbers."""
+    returns = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        F.when(F.col("l_returnflag") == "A", "True")
+        .when(F.col("l_returnflag") == "N", "0.5")
+        .otherwise("1.0")
+        .alias("returned"),
+    )
+    return ef.profile(
+        returns, crm(spark, "returns"), rules="crm", change_column="l_orderkey"
+    )
+
+
 def profile_crm_datetime(spark: SparkSession, folder: str) -> DataFrame:
     return ef.profile(
         table(spark, folder, "events"), crm(spark, "events"), rules="crm", change_column="ts"
@@ -713,6 +766,8 @@ def queries() -> dict[str, Query]:
     found = [
         compare_two_way, compare_one_way, compare_one_way_no_keys, compare_multiset,
         compare_keys, compare_equal, compare_structure, compare_text, compare_versioned,
+        compare_extra_column, compare_wide_numbers, compare_empty_profiles,
+        profile_small_numbers, profile_number_flags,
         compare_profiles, mismatching_columns_profile, mismatching_columns_keyed,
         diff_rows, diff_rows_copies, labelled_diff, suite_report,
         latest_cdc, latest_rank, latest_row_number, latest_staged, distinct_key_count,
@@ -790,10 +845,10 @@ ERP_PROFILE = """
          COUNT(DISTINCT l_suppkey) AS "COUNT_DISTINCT_l_suppkey",
          CAST(SUM(LENGTH(CAST(l_linenumber AS VARCHAR))) AS BIGINT) AS "SUM_LEN_l_linenumber",
          COUNT(DISTINCT l_linenumber) AS "COUNT_DISTINCT_l_linenumber",
-         CAST(SUM(CAST(l_quantity AS DECIMAL(18,4))) AS DECIMAL(30,2)) AS "SUM_l_quantity",
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(30,2))
+         CAST(SUM(l_quantity) AS DECIMAL(30,2)) AS "SUM_l_quantity",
+         CAST(SUM(l_extendedprice) AS DECIMAL(30,2))
            AS "SUM_l_extendedprice",
-         CAST(SUM(CAST(l_discount AS DECIMAL(18,6))) AS DECIMAL(30,4)) AS "SUM_l_discount",
+         CAST(SUM(l_discount) AS DECIMAL(30,4)) AS "SUM_l_discount",
          CAST(SUM(LENGTH(l_returnflag)) AS BIGINT) AS "SUM_LEN_l_returnflag",
          COUNT(DISTINCT l_returnflag) AS "COUNT_DISTINCT_l_returnflag",
          CAST(SUM(LENGTH(l_linestatus)) AS BIGINT) AS "SUM_LEN_l_linestatus",
@@ -932,6 +987,29 @@ SELECT 'lineitem' AS "Table", 'Failed' AS "Status",
        CAST((SELECT COUNT(*) FROM ({CHANGED_LINEITEM})) AS VARCHAR) AS "Actual rows",
        '11' AS "Expected columns", '10' AS "Actual columns",
        '-3' AS "Expected minus Actual count", '-4' AS "Actual minus Expected count\"""",
+        "compare_extra_column": """
+SELECT 'lineitem' AS "Table", 'Failed' AS "Status",
+       '11 and 12 columns before the projection' AS "Details",
+       CAST(COUNT(*) AS VARCHAR) AS "Expected rows", CAST(COUNT(*) AS VARCHAR) AS "Actual rows",
+       '11' AS "Expected columns", '12' AS "Actual columns",
+       '0' AS "Expected minus Actual count", '0' AS "Actual minus Expected count"
+FROM lineitem""",
+        "compare_wide_numbers": _two_way_sql(
+            "orders",
+            "SELECT CAST(o_orderkey + 9007199254740992 AS BIGINT) AS id FROM orders",
+            """SELECT CAST(CAST(CAST(o_orderkey + 9007199254740992 AS BIGINT) AS DOUBLE)
+                    AS BIGINT) AS id FROM orders""",
+            1,
+        ).replace(
+            "'' AS \"Details\"", "'id: bigint and double compared as exact text' AS \"Details\""
+        ),
+        "compare_empty_profiles": """
+SELECT 'lineitem' AS "Table", 'Failed' AS "Status",
+       'a profile has no row count' AS "Details",
+       NULL AS "Expected rows", NULL AS "Actual rows",
+       '17' AS "Expected columns", '17' AS "Actual columns",
+       'Data matching' AS "Data Comparison", 'NA' AS "Mismatching columns"
+FROM lineitem LIMIT 1""",
         "compare_text": _two_way_sql(
             "documents", "SELECT * FROM documents", CHANGED_DOCUMENTS, 5
         ),
@@ -1019,7 +1097,7 @@ SELECT COUNT(*) AS distinct_key_count FROM (SELECT DISTINCT user_id, event_type
             time="SUBSTRING(CAST(o_orderdate AS VARCHAR), 1, 19)",
             day="SUBSTRING(CAST(o_orderday AS VARCHAR), 1, 10)",
             flag="""SUM(CASE WHEN o_urgent = 'False' THEN 0 WHEN o_urgent = 'True' THEN 1
-                    ELSE TRY_CAST(o_urgent AS BIGINT) END)""",
+                    ELSE TRY_CAST(o_urgent AS DOUBLE) END)""",
             source=f"({CRM_ORDERS})",
         ),
         "profile_crm_source": CRM_PROFILE.format(
@@ -1040,6 +1118,21 @@ SELECT 'Profile' AS "Profile", COUNT(*) AS "TOTAL_ROW_COUNT",
        CAST(SUM(toxic) AS BIGINT) AS "SUM_toxic",
        COUNT(DISTINCT toxic) AS "COUNT_DISTINCT_toxic"
 FROM labels""",
+        "profile_small_numbers": """
+SELECT 'Profile' AS "Profile", COUNT(*) AS "TOTAL_ROW_COUNT",
+       MAX(l_shipdate) AS "MAX_MODIFICATION_DATE",
+       CAST(SUM(l_extendedprice * 1e-15) AS DECIMAL(30,9)) AS "SUM_price",
+       CAST(SUM(l_extendedprice * 1e-15) AS DECIMAL(30,9)) AS "SUM_price_text"
+FROM lineitem""",
+        "profile_number_flags": """
+SELECT 'Profile' AS "Profile", COUNT(*) AS "TOTAL_ROW_COUNT",
+       MAX(l_orderkey) AS "MAX_MODIFICATION_DATE",
+       SUM(CASE l_returnflag WHEN 'A' THEN 1.0::DOUBLE WHEN 'N' THEN 0.5 ELSE 1.0 END)
+         AS "SUM_returned",
+       COUNT(DISTINCT CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END)
+         AS "COUNT_DISTINCT_returned",
+       CAST(SUM(l_orderkey) AS DECIMAL(18,0)) AS "SUM_l_orderkey"
+FROM lineitem""",
         "profile_crm_datetime": """
 SELECT 'Profile' AS "Profile", COUNT(*) AS "TOTAL_ROW_COUNT",
        MAX(ts) AS "MAX_MODIFICATION_DATE",

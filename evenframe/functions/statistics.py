@@ -11,8 +11,13 @@ GUARD_DIGITS = 6
 MOST_GUARDED_DIGITS = 9
 PLAIN_DIGITS = 10
 EXACT_UNITS = 2**53  # whole numbers below have no gaps as doubles
+LIMB_DIGITS = 6  # a limb of this width can be added 10^13 times as a bigint
+LIMBS = 4
+ROUNDING = 2.0**-51  # error of a decimal kept as a double and moved by some digits
+TINY = 1e-18  # doubles below have digits that no limb of a plain sum holds
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+FLOATING = (T.FloatType, T.DoubleType)
 
 
 def text_length(column: Column, first: int | None = None) -> Column:
@@ -31,8 +36,9 @@ def _exact_total(column: Column, data_type: T.DataType, scale: int) -> Column:
     """Sum that does not depend on the order in which rows are added.
 
     Floating point and text values are added as decimals with some digits to
-    spare. Text that is no number is skipped. A number that is not finite or
-    too big for any decimal makes the sum null.
+    spare, and what those digits leave of each value is added beside them, so
+    that only the total is rounded. Text that is no number is skipped. A
+    number that is not finite or too big for any decimal makes the sum null.
     """
     if isinstance(data_type, T.BooleanType):
         return F.sum(column.cast("bigint"))
@@ -41,11 +47,28 @@ def _exact_total(column: Column, data_type: T.DataType, scale: int) -> Column:
     if isinstance(data_type, T.DecimalType):
         return F.try_sum(column)
     digits = max(scale, min(scale + GUARD_DIGITS, MOST_GUARDED_DIGITS))
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return _floating_total(column.cast("double"), digits)
-    exact = column.try_cast(T.DecimalType(MAX_PRECISION, digits))
-    lost = exact.isNull() & column.try_cast("double").isNotNull()
-    return _unless(lost, F.try_sum(exact))
+    if isinstance(data_type, FLOATING):
+        column = column.cast("double")
+        total, rest = _floating_total(column, digits), _floating_rest(column, digits)
+        rest = rest * _power(-LIMBS * LIMB_DIGITS, T.DecimalType(24, 24))
+        unit = _power(-digits, T.DecimalType(max(digits, 1), digits))
+        carried = F.round(rest, 0).cast(T.DecimalType(20, 0)) * unit
+    else:
+        total, carried = _text_total(column, digits), F.round(_text_rest(column, digits), digits)
+    same_type = T.DecimalType(MAX_PRECISION - 1, digits)
+    return total.try_cast(same_type) + F.coalesce(
+        carried.try_cast(same_type), F.lit(0).cast(same_type)
+    )
+
+
+def _power(exponent: int, data_type: T.DecimalType) -> Column:
+    return F.lit(f"1e{exponent}").cast(data_type)
+
+
+def _fits(column: Column, digits: int) -> tuple[Column, Column]:
+    """A value in units of its last digit, and whether a double holds such a number."""
+    units = column * F.lit(10.0**digits)
+    return units, F.abs(units) < F.lit(float(EXACT_UNITS))
 
 
 def _floating_total(column: Column, digits: int) -> Column:
@@ -54,14 +77,13 @@ def _floating_total(column: Column, digits: int) -> Column:
     That is twice as fast as turning each value into a decimal, which only
     values too big for it take.
     """
-    units = column * F.lit(10.0**digits)
-    fits = F.abs(units) < F.lit(float(EXACT_UNITS))
+    units, fits = _fits(column, digits)
     whole = F.rint(units).cast("bigint").cast(T.DecimalType(20, 0))
     beyond = F.when(~fits, column)
     exact = beyond.try_cast(T.DecimalType(MAX_PRECISION, digits))
 
     places = max(digits, 1)
-    unit = F.lit(f"1e-{digits}").cast(T.DecimalType(places, digits))
+    unit = _power(-digits, T.DecimalType(places, digits))
     room = T.DecimalType(MAX_PRECISION - 1 - places, 0)
     same_type = T.DecimalType(MAX_PRECISION - 1, digits)
     small = F.sum(F.when(fits, whole)).try_cast(room) * unit
@@ -73,6 +95,46 @@ def _floating_total(column: Column, digits: int) -> Column:
     return _unless(lost, F.when(big.isNull(), small).otherwise(both))
 
 
+def _floating_rest(column: Column, digits: int) -> Column:
+    """What ``_floating_total`` leaves of the values, in units of the last limb.
+
+    A rest within the rounding error of its own value is none: 1234.56 is no
+    whole number of units as a double, yet has two digits. Sums of such values
+    stay free of that error.
+    """
+    units, fits = _fits(column, digits)
+    rest = units - F.rint(units)
+    rest = F.when(fits & (F.abs(rest) > F.abs(units) * F.lit(ROUNDING)), rest)
+    total = F.lit(0).cast(T.DecimalType(MAX_PRECISION, 0))
+    base = F.lit(10**LIMB_DIGITS).cast(T.DecimalType(LIMB_DIGITS + 1, 0))
+    for _ in range(LIMBS):
+        rest = rest * F.lit(10.0**LIMB_DIGITS)
+        limb = F.sum(F.rint(rest).cast("bigint"))
+        total = total * base + limb.cast(T.DecimalType(20, 0))
+        rest = rest - F.rint(rest)
+    return total
+
+
+def _text_total(column: Column, digits: int) -> Column:
+    exact = column.try_cast(T.DecimalType(MAX_PRECISION, digits))
+    lost = exact.isNull() & column.try_cast("double").isNotNull()
+    return _unless(lost, F.try_sum(exact))
+
+
+def _text_rest(column: Column, digits: int) -> Column:
+    """What ``digits`` leave of numbers in texts, to the 27th digit after the point.
+
+    Numbers of more than ten digits before the point have 17 after it.
+    """
+    exact = column.try_cast(T.DecimalType(MAX_PRECISION, digits))
+    kind = T.DecimalType(MAX_PRECISION - 1, 27)
+    wide = T.DecimalType(MAX_PRECISION - 1, 17)
+    fine = column.try_cast(kind) - exact.try_cast(kind)
+    coarse = column.try_cast(wide) - exact.try_cast(wide)
+    rest = F.coalesce(fine, coarse.try_cast(kind), F.lit(0).cast(kind))
+    return F.try_sum(rest)
+
+
 def _unless(lost: Column, total: Column) -> Column:
     return F.when(~F.coalesce(F.bool_or(lost), F.lit(False)), total)
 
@@ -87,21 +149,34 @@ def decimal_sum(
 
 
 def plain_sum(column: Column, data_type: T.DataType) -> Column:
-    """``SUM(c)`` in the natural result type of ``c``."""
+    """``SUM(c)`` in the natural result type of ``c``.
+
+    Doubles nearer to zero than 1e-18 are added as doubles.
+    """
     if isinstance(data_type, T.BooleanType):
         return F.sum(column.cast("bigint"))
     if isinstance(data_type, INTEGRAL + (T.DecimalType,)):
         return F.sum(column)
-    return _exact_total(column, data_type, PLAIN_DIGITS).cast("double")
+    if isinstance(data_type, FLOATING):
+        column = column.cast("double")
+        tiny = F.abs(column) < F.lit(TINY)
+        near = F.sum(F.when(tiny, column))
+        column = F.when(tiny, F.lit(0.0)).otherwise(column)
+        total = _floating_total(column, PLAIN_DIGITS).cast("double")
+        last = 10.0 ** -(PLAIN_DIGITS + LIMBS * LIMB_DIGITS)
+        rest = _floating_rest(column, PLAIN_DIGITS).cast("double") * F.lit(last)
+        none = F.lit(0.0)
+        return total + (F.coalesce(rest, none) + F.coalesce(near, none))
+    rest = F.coalesce(_text_rest(column, PLAIN_DIGITS).cast("double"), F.lit(0.0))
+    return _text_total(column, PLAIN_DIGITS).cast("double") + rest
 
 
 def flag_sum(column: Column, data_type: T.DataType) -> Column:
-    """Sum of flags: ``False`` is 0, ``True`` is 1, other values count as such."""
-    if isinstance(data_type, T.BooleanType):
-        return F.sum(column.cast("bigint"))
-    text = column.cast("string")
-    return F.sum(
-        F.when(text == "False", F.lit(0).cast("bigint"))
-        .when(text == "True", F.lit(1).cast("bigint"))
-        .otherwise(text.try_cast("bigint"))
-    )
+    """Sum of flags: ``False`` is 0, ``True`` is 1, other values count as such.
+
+    A double for texts, the natural type of a sum for anything else.
+    """
+    if not isinstance(data_type, (T.StringType, T.CharType, T.VarcharType)):
+        return plain_sum(column, data_type)
+    number = F.when(column == "False", "0").when(column == "True", "1").otherwise(column)
+    return plain_sum(number, T.StringType())

@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 from evenframe.functions.columns import actual_name, named
 
 STRUCTURE_ERROR = "File Structure error"
+FLOATING = (T.FloatType, T.DoubleType)
+MAX_PRECISION = 38
+DOUBLE_DIGITS = 15  # decimals of so many digits differ as doubles too
+#: Digits of whole number types.
+WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
 
 
 class StructureError(ValueError):
@@ -44,7 +49,8 @@ def align(
 
     ``columns`` projects both sides to that list first. ``decimals`` rounds
     floating point columns on both sides. Sides that disagree on the type of a
-    column meet at a common numeric or time type, otherwise at text.
+    column meet at a common time type or a number type that holds both,
+    otherwise at text.
     """
     if by not in ("position", "name"):
         raise ValueError(f"by must be 'position' or 'name', not {by!r}")
@@ -63,15 +69,18 @@ def align(
     for name, shown_name, e, a in zip(
         internal, shown, expected.schema.fields, actual.schema.fields
     ):
-        target = _common_type(e.dataType, a.dataType)
+        exact_scale = _exact_scale(e.dataType, a.dataType)
+        target = T.StringType() if exact_scale is not None else _common_type(e.dataType, a.dataType)
         if e.dataType != a.dataType:
-            meeting = target.simpleString() if target else "wider type"
+            meeting = "wider type"
+            if target is not None:
+                meeting = "exact text" if exact_scale is not None else target.simpleString()
             notes.append(
                 f"{shown_name}: {e.dataType.simpleString()} and "
                 f"{a.dataType.simpleString()} compared as {meeting}"
             )
-        left.append(_fit(F.col(name), e.dataType, target, decimals).alias(name))
-        right.append(_fit(F.col(name), a.dataType, target, decimals).alias(name))
+        left.append(_fit(F.col(name), e.dataType, target, decimals, exact_scale).alias(name))
+        right.append(_fit(F.col(name), a.dataType, target, decimals, exact_scale).alias(name))
     return Aligned(expected.select(*left), actual.select(*right), shown, notes)
 
 
@@ -101,19 +110,69 @@ def _common_type(e: T.DataType, a: T.DataType) -> T.DataType | None:
     void = T.NullType
     if isinstance(e, void) or isinstance(a, void):
         return None
+    if isinstance(e, T.NumericType) and isinstance(a, T.NumericType):
+        floating = isinstance(e, FLOATING) or isinstance(a, FLOATING)
+        return T.DoubleType() if floating else None
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    for family in ((T.NumericType,), times):
-        if isinstance(e, family) and isinstance(a, family):
-            return None
+    if isinstance(e, times) and isinstance(a, times):
+        return None
     nested = (T.ArrayType, T.StructType, T.MapType)
     if isinstance(e, nested) or isinstance(a, nested):
         return None
     return T.StringType()
 
 
+def _as_decimal(data_type: T.DataType) -> T.DecimalType | None:
+    for kind, precision in WHOLE_DIGITS.items():
+        if isinstance(data_type, kind):
+            return T.DecimalType(precision, 0)
+    return data_type if isinstance(data_type, T.DecimalType) else None
+
+
+def _exact_scale(e: T.DataType, a: T.DataType) -> int | None:
+    """Scale for a comparison as text, where no number type holds both sides."""
+    if e == a:
+        return None
+    left, right = _as_decimal(e), _as_decimal(a)
+    if left and right:
+        whole = max(left.precision - left.scale, right.precision - right.scale)
+        scale = max(left.scale, right.scale)
+        return scale if whole + scale > MAX_PRECISION else None
+    exact = left or right
+    if exact and (isinstance(e, FLOATING) or isinstance(a, FLOATING)):
+        return exact.scale if exact.precision > DOUBLE_DIGITS else None
+    return None
+
+
+def _exact_text(column: Column, source: T.DataType, scale: int) -> Column:
+    """Equal for equal numbers: no point where nothing but zeros follows it.
+
+    A double that is a decimal of that scale is written as the decimal, any
+    other as the double.
+    """
+    if not isinstance(source, FLOATING):
+        return _without_zeros(column.cast(_as_decimal(source)))
+    value = column.cast("double")
+    exact = value.try_cast(T.DecimalType(MAX_PRECISION, scale))
+    same = F.coalesce(exact.cast("double") == value, F.lit(False))
+    return F.when(same, _without_zeros(exact)).otherwise(value.cast("string"))
+
+
+def _without_zeros(column: Column) -> Column:
+    text = F.regexp_replace(column.cast("string"), r"(\.\d*?)0+(?=E|$)", "$1")
+    text = F.regexp_replace(text, r"\.(?=E|$)", "")
+    return F.when(column == 0, F.lit("0")).otherwise(text)
+
+
 def _fit(
-    column: Column, source: T.DataType, target: T.DataType | None, decimals: int | None
+    column: Column,
+    source: T.DataType,
+    target: T.DataType | None,
+    decimals: int | None,
+    exact_scale: int | None,
 ) -> Column:
-    if decimals is not None and isinstance(source, (T.FloatType, T.DoubleType)):
+    if decimals is not None and isinstance(source, FLOATING):
         column = F.round(column, decimals)
+    if exact_scale is not None:
+        return _exact_text(column, source, exact_scale)
     return column if target is None else column.cast(target)

@@ -64,12 +64,14 @@ def compare(
     ``one_way`` says whether the actual side lacks expected rows and names the
     mismatching columns, per key where ``keys`` are given.
 
-    ``columns`` projects both sides to a fixed list. ``latest`` drops older
+    ``columns`` projects both sides to a fixed list; sides of unequal column
+    counts still fail. ``latest`` drops older
     versions from the actual side first, for sources that keep only the newest.
     Nothing runs before the result is used, and both sides are read once.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    counts = len(expected.columns), len(actual.columns)
     try:
         if latest is not None:
             if columns is not None:
@@ -77,10 +79,10 @@ def compare(
             actual = latest_by(actual, latest.keys, latest.order, ties="all")
         sides = align(expected, actual, columns, by, decimals)
     except StructureError as error:
-        return _structure_error(expected, actual, table, mode, keys, str(error))
+        return _structure_error(expected, actual, table, mode, keys, str(error), counts)
     if mode == "one_way":
-        return _one_way(sides, table, keys)
-    return _two_way(sides, table, keys)
+        return _one_way(sides, table, keys, counts)
+    return _two_way(sides, table, keys, counts)
 
 
 def compare_totals(
@@ -96,27 +98,36 @@ def compare_totals(
     return totals(tally(sides), internal_keys(sides, keys))
 
 
-def _column_counts(sides: Aligned) -> dict[str, Column]:
-    n = F.lit(len(sides.columns))
-    return {"Expected columns": n, "Actual columns": n}
+def _column_counts(counts: tuple[int, int]) -> dict[str, Column]:
+    """Columns of both sides before any projection."""
+    return {"Expected columns": F.lit(counts[0]), "Actual columns": F.lit(counts[1])}
 
 
-def _two_way(sides: Aligned, table: str, keys: Sequence[str] | None) -> DataFrame:
+def _details(sides: Aligned, counts: tuple[int, int]) -> list[str]:
+    if counts[0] == counts[1]:
+        return sides.notes
+    return [f"{counts[0]} and {counts[1]} columns before the projection", *sides.notes]
+
+
+def _two_way(
+    sides: Aligned, table: str, keys: Sequence[str] | None, counts: tuple[int, int]
+) -> DataFrame:
     numbers = totals(tally(sides), internal_keys(sides, keys))
     passed = (
         R.same(("expected_rows", "actual_rows"))
         & (F.col("expected_minus_actual") == 0)
         & (F.col("actual_minus_expected") == 0)
+        & F.lit(counts[0] == counts[1])
     )
     values = {
         "Table": F.lit(table),
         "Status": R.status(passed),
-        "Details": F.lit("; ".join(sides.notes)),
+        "Details": F.lit("; ".join(_details(sides, counts))),
         "Expected rows": F.col("expected_rows"),
         "Actual rows": F.col("actual_rows"),
         "Expected minus Actual count": F.col("expected_minus_actual"),
         "Actual minus Expected count": F.col("actual_minus_expected"),
-        **_column_counts(sides),
+        **_column_counts(counts),
     }
     if not keys:
         return R.report_row(numbers, "rows", values)
@@ -125,7 +136,9 @@ def _two_way(sides: Aligned, table: str, keys: Sequence[str] | None) -> DataFram
     return R.report_row(numbers, "keys", values)
 
 
-def _one_way(sides: Aligned, table: str, keys: Sequence[str] | None) -> DataFrame:
+def _one_way(
+    sides: Aligned, table: str, keys: Sequence[str] | None, counts: tuple[int, int]
+) -> DataFrame:
     counted = tally(sides)
     row = one_row(
         [
@@ -133,24 +146,32 @@ def _one_way(sides: Aligned, table: str, keys: Sequence[str] | None) -> DataFram
             mismatching_columns(sides, keys, name="mismatching", counted=counted),
         ]
     )
-    return _one_way_report(row, sides, table)
+    return _one_way_report(row, sides, table, counts)
 
 
 NO_ROW_COUNT = "a profile has no row count"
 
 
 def _one_way_report(
-    row: DataFrame, sides: Aligned, table: str, uncounted: Column | None = None
+    row: DataFrame,
+    sides: Aligned,
+    table: str,
+    counts: tuple[int, int],
+    uncounted: Column | None = None,
 ) -> DataFrame:
     """``uncounted`` tells that a row count is missing, which fails whatever else agrees."""
     lacks_nothing = F.col("expected_minus_actual") == 0
     uncounted = F.lit(False) if uncounted is None else uncounted
-    notes = F.lit("; ".join(sides.notes))
-    why = F.lit("; ".join([NO_ROW_COUNT, *sides.notes]))
+    equal_counts = F.lit(counts[0] == counts[1])
+    notes = F.lit("; ".join(_details(sides, counts)))
+    why = F.lit("; ".join([NO_ROW_COUNT, *_details(sides, counts)]))
     values = {
         "Table": F.lit(table),
         "Status": R.status(
-            R.same(("expected_rows", "actual_rows")) & lacks_nothing & ~uncounted
+            R.same(("expected_rows", "actual_rows"))
+            & lacks_nothing
+            & equal_counts
+            & ~uncounted
         ),
         "Details": F.when(uncounted, why).otherwise(notes),
         "Expected rows": F.col("expected_rows"),
@@ -159,7 +180,7 @@ def _one_way_report(
         "Mismatching columns": F.when(
             ~lacks_nothing, F.col("mismatching")
         ).otherwise("NA"),
-        **_column_counts(sides),
+        **_column_counts(counts),
     }
     return R.report_row(row, "profile", values)
 
@@ -171,6 +192,7 @@ def _structure_error(
     mode: str,
     keys: Sequence[str] | None,
     problem: str,
+    counts: tuple[int, int],
 ) -> DataFrame:
     """Rows and columns are still counted, the differences are not."""
     values = {
@@ -179,8 +201,7 @@ def _structure_error(
         "Details": F.lit(f"{STRUCTURE_ERROR}: {problem}"),
         "Expected rows": F.col("expected_rows"),
         "Actual rows": F.col("actual_rows"),
-        "Expected columns": F.lit(len(expected.columns)),
-        "Actual columns": F.lit(len(actual.columns)),
+        **_column_counts(counts),
     }
     parts = [row_totals(expected, actual)]
     if mode == "one_way":
@@ -238,7 +259,8 @@ def compare_profiles(
         of_side(N_ACTUAL, f"c{rows_a}").cast("string").alias("actual_rows"),
     )
     uncounted = F.col("expected_rows").isNull() | F.col("actual_rows").isNull()
-    return _one_way_report(row, sides, table, uncounted)
+    counts = len(expected.columns), len(actual.columns)
+    return _one_way_report(row, sides, table, counts, uncounted)
 
 
 def _row_count(df: DataFrame, side: str) -> DataFrame:

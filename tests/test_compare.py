@@ -283,3 +283,40 @@ def test_profiles_without_rows_fail(spark):
     empty = spark.createDataFrame([], "TOTAL_ROW_COUNT long, a long")
     report = compare_profiles(empty, empty).first()
     assert report["Status"] == "Failed" and "row count" in report["Details"]
+
+
+def test_columns_are_counted_before_the_projection(spark):
+    left = spark.createDataFrame([(1, 2)], "a int, b int")
+    right = left.selectExpr("a", "b", "a AS c")
+    for mode in ("two_way", "one_way"):
+        got = report(compare(left, right, columns=["a", "b"], mode=mode))
+        assert got["Status"] == "Failed"
+        assert (got["Expected columns"], got["Actual columns"]) == ("2", "3")
+        assert got["Details"] == "2 and 3 columns before the projection"
+
+
+@pytest.mark.parametrize(
+    ("left", "right", "verdict"),
+    [
+        ("9007199254740993L", "9007199254740992D", "Failed"),
+        ("9007199254740992L", "9007199254740992D", "Passed"),
+        ("5L", "5.0D", "Passed"),
+        ("5L", "5.5D", "Failed"),
+        ("0L", "-0.0D", "Passed"),
+        ("5L", "double('NaN')", "Failed"),
+        ("5L", "1e300D", "Failed"),
+        ("CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "Passed"),
+        ("16777217", "CAST(16777216 AS FLOAT)", "Failed"),
+        ("CAST('0.1' AS DECIMAL(10,2))", "0.1D", "Passed"),
+        ("CAST('0.1000000000000000055' AS DECIMAL(20,19))", "0.1D", "Failed"),
+        ("CAST('0.1' AS DECIMAL(20,19))", "0.1D", "Passed"),
+        ("CAST('1.00000000000000000001' AS DECIMAL(38,20))", "CAST(1 AS DECIMAL(38,0))", "Failed"),
+        ("CAST(100 AS DECIMAL(38,20))", "CAST(100 AS DECIMAL(38,0))", "Passed"),
+        ("CAST(0 AS DECIMAL(38,20))", "CAST(0 AS DECIMAL(38,0))", "Passed"),
+        ("CAST('1.5e-10' AS DECIMAL(38,20))", "CAST('1.5e-10' AS DECIMAL(38,30))", "Passed"),
+    ],
+)
+def test_unequal_numbers_of_two_types_never_pass(spark, left, right, verdict):
+    sides = spark.sql(f"SELECT {left} AS x"), spark.sql(f"SELECT {right} AS x")
+    assert report(compare(*sides))["Status"] == verdict
+    assert report(compare(*reversed(sides)))["Status"] == verdict

@@ -2,8 +2,10 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from evenframe import profile, profile_table, run_profile_sql
+from evenframe.functions.statistics import flag_sum, plain_sum
 from evenframe.operators import rules as R
 from evenframe.operators.profiles import statistics_for
 from evenframe.sources import CRM_SCHEMA, ERP_SCHEMA, load_dictionary
@@ -228,3 +230,43 @@ def test_dictionary_of_one_table(spark):
         [("t", "a", "CHAR", None), ("u", "b", "CHAR", None)], ERP_SCHEMA
     )
     assert [r["FIELDNAME"] for r in load_dictionary(both, "u").collect()] == ["b"]
+
+
+@pytest.mark.parametrize(
+    ("value", "rows", "wanted"),
+    [
+        ("4e-10D", 1_000_000, "0.0004"),
+        ("'4e-10'", 1_000_000, "0.0004"),
+        ("-4e-10D", 1_000_000, "-0.0004"),
+        ("1234.56D", 1_000_000, "1234560000.0000"),
+        ("1.005D", 200_000, "201000.0000"),
+        ("'12345678901.00000000001'", 10_000_000, "123456789010000000.0001"),
+    ],
+)
+def test_small_parts_of_values_reach_the_sum(spark, value, rows, wanted):
+    df = spark.range(rows).selectExpr(f"{value} AS x", "1 AS changed")
+    got = profile(df, erp(spark, ("x", "DEC", 4)), change_column="changed").first()
+    assert got["SUM_x"] == Decimal(wanted)
+
+
+@pytest.mark.parametrize(
+    ("values", "wanted"),
+    [
+        ("1e-11D", 1e-5),
+        ("'1e-11'", 1e-5),
+        ("-1.23456789e-22D", -1.23456789e-16),
+        ("1e300D", None),
+        ("CAST(NULL AS DOUBLE)", None),
+    ],
+)
+def test_plain_sums_of_small_values(spark, values, wanted):
+    df = spark.range(1_000_000).selectExpr(f"{values} AS x")
+    got = df.agg(plain_sum(F.col("x"), df.schema["x"].dataType).alias("s")).first()["s"]
+    assert got == (wanted if wanted is None else pytest.approx(wanted, rel=1e-9, abs=0))
+
+
+def test_flags_that_are_numbers(spark):
+    df = spark.createDataFrame(
+        [("0.5",), ("True",), ("2.0",), ("False",), ("no",), (None,)], "x string"
+    )
+    assert df.agg(flag_sum(F.col("x"), df.schema["x"].dataType)).first()[0] == 3.5
