@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenframe.functions.durable import durable
 
-from .common import per_batch, texts
+from .common import per_batch, small_batches, texts
 from .language import fold
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 #: Labelled documents of each class that examples are drawn from, at most.
 EXAMPLES = 4096
-#: Words that vectors are made of, at most, and what a word needs to be one.
-WORDS = 1024
-LEAST_CHI2, LEAST_SEEN = 30.0, 5
 NEIGHBOURS = 25
 #: A vote weighs its cosine over its distance and NEAREST; the prior's weight is added.
 NEAREST, PRIOR_MASS = 0.1, 0.5
 #: Examples of a block of the index.
 BLOCK = 64
+#: Words of one example in OFTEN or more are held as columns of the blocks, DENSE of them at most.
+OFTEN, DENSE = 32, 512
+#: Texts that are looked up together, and blocks that each visits before others are passed over.
+TOGETHER, FIRST = 64, 4
+#: Cosines that differ by less are ties.
+DIGITS = 10
 SIGNATURES = 4
 SHINGLE = 5
 _WORD = re.compile(r"\w+")
@@ -49,19 +53,13 @@ def _signatures(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "signature"])
 
 
-def _distinct_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    words = [sorted(set(words_of(t))) for t in batch.column("text").to_pylist()]
-    yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(words, pa.list_(pa.string()))], names=["toxic", "words"])
-
-
-def _counted(known: dict[str, int]):
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        counts = [Counter(known[w] for w in words_of(t) if w in known) for t in batch.column("text").to_pylist()]
-        columns = [batch.column(c) for c in ("id", "row", "toxic")]
-        columns += [pa.array([f(c) for c in counts], pa.list_(pa.int64())) for f in (lambda c: list(c.keys()), lambda c: list(c.values()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "toxic", "at", "n"])
-
-    return work
+def _word_counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each text, one a line, and their counts."""
+    counts = [Counter(words_of(t)) for t in batch.column("text").to_pylist()]
+    columns = [batch.column(c) for c in ("id", "row", "toxic")]
+    columns.append(pa.array(["\n".join(c) for c in counts], pa.string()))
+    columns.append(pa.array([np.array(list(c.values()), np.int32).tobytes() for c in counts], pa.binary()))
+    yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "toxic", "words", "n"])
 
 
 @dataclass
@@ -69,90 +67,148 @@ class Model:
     """Examples as vectors, in an inverted index of blocks with their greatest weights."""
 
     words: dict[str, int]
-    idf: np.ndarray
+    #: What a word's weight in a text is multiplied with.
+    scale: np.ndarray
     prior: float
     #: Rate of toxic examples among those without any of the words.
     blank_rate: float
     ids: np.ndarray
     votes: np.ndarray
     labels: np.ndarray
-    #: Postings of word w in block b: examples and weights from starts[w, b] to starts[w, b + 1].
-    starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
-    postings: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    #: Postings of word w: examples and weights from starts[w] to starts[w + 1].
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    postings: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    n_blocks: int = 0
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array(sorted(counts), np.int64)
-        weight = np.array([1 + math.log(counts[w]) for w in at.tolist()]) * self.idf[at]
+        at, n = np.array(list(counts), np.int64), np.array(list(counts.values()), float)
+        order = np.argsort(at)
+        at, weight = at[order], (1 + np.log(n[order])) * self.scale[at[order]]
         return at, weight / np.sqrt((weight**2).sum())
 
     def counts(self, text: str) -> dict[int, int]:
         known = self.words
-        return dict(Counter(known[w] for w in words_of(text) if w in known))
+        return {known[w]: n for w, n in Counter(words_of(text)).items() if w in known}
 
     def index(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        n_blocks = -(-len(vectors) // BLOCK)
-        rows = sorted((int(w), e, float(x)) for e, v in enumerate(vectors) for w, x in zip(*v, strict=True))
-        word = np.array([r[0] for r in rows], np.int64)
-        self.postings = np.array([r[1] for r in rows], np.int64)
-        self.weights = np.array([r[2] for r in rows], float)
-        slot = word * n_blocks + self.postings // BLOCK
-        edges = np.searchsorted(slot, np.arange(len(self.words) * n_blocks + 1))
-        cells = np.arange(len(self.words))[:, None] * n_blocks + np.arange(n_blocks + 1)
-        self.starts = edges[cells]
-        self.most = np.zeros(len(self.words) * n_blocks)
-        np.maximum.at(self.most, slot, self.weights)
-        self.most = self.most.reshape(len(self.words), n_blocks)
+        self.n_blocks = -(-len(vectors) // BLOCK)
+        word = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in vectors)])
+        order = np.argsort(word, kind="stable")
+        self.postings = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(at) for at, _ in vectors])[order]
+        self.weights = np.concatenate([np.zeros(0), *(x for _, x in vectors)])[order]
+        self.starts = np.searchsorted(word[order], np.arange(len(self.words) + 1))
+
+    @cached_property
+    def frequent(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each word's column or -1, the blocks' weights by column, and the greatest of each block.
+
+        They are made where the model is used and do not travel with it.
+        """
+        seen = np.diff(self.starts)
+        often = np.flatnonzero(seen * OFTEN >= len(self.ids))
+        often = often[np.argsort(-seen[often], kind="stable")][:DENSE]
+        column = np.full(len(seen), -1, np.int64)
+        column[often] = np.arange(len(often))
+        table = np.zeros((self.n_blocks, len(often), BLOCK))
+        for c, w in enumerate(often.tolist()):
+            span = slice(self.starts[w], self.starts[w + 1])
+            table[self.postings[span] // BLOCK, c, self.postings[span] % BLOCK] = self.weights[span]
+        return column, table, table.max(axis=2)
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of the greatest positive cosine, ties by their order.
-
-        Blocks are visited by the greatest cosine that any of their examples
-        could have, until none can reach the k-th best.
+        """The ``k`` examples of the greatest positive cosine, ties by their order."""
+        return self.nearest_of([(at, weight)], k)[0]
+
+    def nearest_of(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the ``k`` examples of the greatest positive cosine, ties by their order.
+
+        Postings add up the words that few examples have. With the greatest
+        weights of a block for the others this bounds the cosines in the block
+        from above. Each vector visits the blocks of its greatest bounds, and
+        then all that can reach the k-th best cosine found by then.
         """
-        bounds = weight @ self.most[at] + 1e-12
-        best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.lexsort((np.arange(len(bounds)), -bounds)):
-            if bounds[b] <= 1e-12 or (len(best_s) == k and bounds[b] < best_s[-1]):
-                break
-            score = np.zeros(BLOCK)
-            for w, x in zip(at, weight, strict=True):
-                span = slice(self.starts[w, b], self.starts[w, b + 1])
-                score[self.postings[span] - b * BLOCK] += x * self.weights[span]
-            hit = np.flatnonzero(score)
-            best_e = np.concatenate([best_e, hit + b * BLOCK])
-            best_s = np.concatenate([best_s, score[hit]])
-            order = np.lexsort((best_e, -best_s))[:k]
-            best_e, best_s = best_e[order], best_s[order]
-        return best_e, best_s
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
-        """Share of toxic votes, weighted by distance, and the nearest examples' ids."""
-        if not counts:
-            return self.blank_rate, []
-        found, cosine = self.nearest(*self.vector(counts))
-        mass = cosine / (1 - cosine + NEAREST) * self.votes[found]
-        total = mass.sum() + PRIOR_MASS
-        value = (float((mass * self.labels[found]).sum()) + PRIOR_MASS * self.prior) / total
-        return min(1.0, max(0.0, float(value))), self.ids[found[:3]].tolist()
-
-
-def _seen(known: frozenset[str]):
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-        texts = batch.column("text").to_pylist()
-        for text in texts:
-            counts.update(known.intersection(words_of(text)))
-        counts[""] = len(texts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-            names=["word", "n"],
-        )
+        column, table, most = self.frequent
+        n = self.n_blocks * BLOCK
+        score, often = np.zeros((len(vectors), n)), np.zeros((len(vectors), most.shape[1]))
+        for row, (at, weight) in enumerate(vectors):
+            c = column[at]
+            often[row, c[c >= 0]] = weight[c >= 0]
+            start, size = self.starts[at[c < 0]], self.starts[at[c < 0] + 1] - self.starts[at[c < 0]]
+            place = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+            x = np.repeat(weight[c < 0], size) * self.weights[place]
+            score[row] = np.bincount(self.postings[place], x, minlength=n)
+        blocks = score.reshape(len(vectors), self.n_blocks, BLOCK)
+        bound = blocks.max(axis=2) + often @ most.T + 1e-9
+        visited = np.zeros(bound.shape, bool)
+
+        def visit(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                rows = np.flatnonzero(wanted[:, b])
+                blocks[rows, b] += often[rows] @ table[b]
+            visited[wanted] = True
+
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST], True, axis=1)
+        visit(first)
+        kth = max(0, n - k)
+        visit(~visited & (bound >= np.partition(score, kth, axis=1)[:, [kth]]))
+        blocks[~visited] = 0
+        out = []
+        for found, least in zip(score, np.partition(score, kth, axis=1)[:, kth].tolist(), strict=True):
+            hit = np.flatnonzero((found >= least - 10.0**-DIGITS) & (found > 0))
+            cosine = np.round(found[hit], DIGITS)
+            order = np.lexsort((hit, -cosine))[:k]
+            out.append((hit[order], cosine[order]))
+        return out
+
+    def scores(self, texts: list[dict[int, int]]) -> list[tuple[float, list[int]]]:
+        """Share of toxic votes, weighted by distance, and the nearest examples' ids, of each text's counts."""
+        if not len(self.ids):
+            return [(self.blank_rate, [])] * len(texts)
+        out: list[tuple[float, list[int]]] = [(self.blank_rate, [])] * len(texts)
+        some = [i for i, counts in enumerate(texts) if counts]
+        for start in range(0, len(some), TOGETHER):
+            part = some[start : start + TOGETHER]
+            for i, (found, cosine) in zip(part, self.nearest_of([self.vector(texts[i]) for i in part]), strict=True):
+                mass = cosine / (1 - cosine + NEAREST) * self.votes[found]
+                total = mass.sum() + PRIOR_MASS
+                value = (float((mass * self.labels[found]).sum()) + PRIOR_MASS * self.prior) / total
+                out[i] = min(1.0, max(0.0, float(value))), self.ids[found[:3]].tolist()
+        return out
+
+
+def _document_counts(known: Broadcast):
+    """How many documents of a partition have each word, and under -1 how many there are."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = known.value
+        seen, n = np.zeros(len(words), np.int64), 0
+        for batch in small_batches(batches, "text"):
+            n += batch.num_rows
+            for text in batch.column("text").to_pylist():
+                seen[[words[w] for w in set(words_of(text)) if w in words]] += 1
+        at = np.flatnonzero(seen)
+        columns = [pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(seen[at], n), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["at", "n"])
 
     return work
 
 
+def _lean(counts: list[tuple[dict, dict[int, int]]], n_words: int) -> np.ndarray:
+    """Chi-squared of each word's presence against the label, 0 for words not seen rather in toxic examples."""
+    held = np.zeros((2, n_words))
+    sizes = np.zeros((2, 1))
+    for r, c in counts:
+        held[r["toxic"], list(c)] += 1
+        sizes[r["toxic"]] += 1
+    (b, a), (d, c) = held, sizes - held
+    chi2 = sizes.sum() * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1)
+    return np.where(a * d > b * c, chi2, 0)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -165,10 +221,11 @@ def fit(
 
     At most ``examples`` documents of each class, those of the smallest hash of
     the id, are looked at; votes are weighted so that the classes keep their
-    true proportion. Near copies among them count once. Words whose presence
-    goes with the label (chi-squared) make up the vectors; how rare each is
-    comes from all documents. Everything the driver gets is bounded by
-    ``examples`` and WORDS.
+    true proportion. Near copies among them count once. All words of the
+    examples make up the vectors. A word's weight is its TF-IDF, how rare it is
+    coming from all documents, times one and, where it is seen rather in toxic
+    examples, the chi-squared of that on top. The driver gets the counted words
+    of the examples.
 
     Of several labels of one document the greatest counts. Without labelled
     documents of both classes, every score is the rate of the class seen, or 0.
@@ -204,31 +261,27 @@ def fit(
     model = Model({}, empty, prior, prior, np.zeros(0, np.int64), empty, empty)
     if len(sizes) < 2:
         return model
-    hits = (
-        kept.mapInArrow(per_batch(_distinct_words, "text"), "toxic int, words array<string>")
-        .select("toxic", F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-        .withColumns({"c": F.lit(float(sizes[1])) - F.col("a"), "d": F.lit(float(sizes[0])) - F.col("b")})
-        .where((F.col("a") + F.col("b") >= LEAST_SEEN) & (F.expr("a * d > b * c")))
-        .withColumn("chi2", F.expr("(a+b+c+d) * pow(a*d - b*c, 2) / greatest((a+b)*(c+d)*(a+c)*(b+d), 1D)"))
-        .where(F.col("chi2") >= LEAST_CHI2)
-    )
-    chosen = [r["word"] for r in hits.orderBy(F.desc("chi2"), "word").limit(WORDS).select("word").collect()]
-    if not chosen:
-        return model
+    counted = kept.mapInArrow(
+        per_batch(_word_counts, "text"), "id long, row long, toxic int, words string, n binary"
+    ).toArrow()
+    rows = sorted(counted.to_pylist(), key=lambda r: (r["id"], r["row"]))
+    del counted
+    words: dict[str, int] = {}
+    counts = []
+    for r in rows:
+        at = [words.setdefault(w, len(words)) for w in r.pop("words").split("\n") if w]
+        counts.append((r, dict(zip(at, np.frombuffer(r.pop("n"), np.int32).tolist(), strict=True))))
     every = docs.select(F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"))
-    counted = every.mapInArrow(per_batch(_seen(frozenset(chosen)), "text"), "word string, n long")
-    df = {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    n_docs = df.pop("", 0)
-    model.words = {w: i for i, w in enumerate(chosen)}
-    model.idf = np.array([1 + math.log((1 + n_docs) / (1 + df.get(w, 0))) for w in chosen])
+    known = spark.sparkContext.broadcast(words)
+    seen_in = every.mapInArrow(_document_counts(known), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    seen_in = seen_in.toArrow()
+    at, n = seen_in.column("at").to_numpy(), seen_in.column("n").to_numpy()
+    known.unpersist()
+    n_docs, df = int(n[at < 0].sum()), np.zeros(len(words), np.int64)
+    df[at[at >= 0]] = n[at >= 0]
+    model.words = words
+    model.scale = (1 + np.log((1 + n_docs) / (1 + df))) * (1 + _lean(counts, len(words)))
     share = {y: totals[y] / sizes[y] for y in (0, 1)}
-    rows = kept.mapInArrow(
-        per_batch(_counted(model.words), "text"), "id long, row long, toxic int, at array<long>, n array<long>"
-    ).collect()
-    rows.sort(key=lambda r: (r["id"], r["row"]))
-    counts = [(r, dict(zip(r["at"], r["n"], strict=True))) for r in rows]
     blank = Counter(r["toxic"] for r, c in counts if not c)
     mass = {y: blank[y] * share[y] for y in (0, 1)}
     model.blank_rate = mass[1] / (mass[0] + mass[1]) if blank else prior
@@ -242,16 +295,14 @@ def fit(
     return model
 
 
-def _scored(model: Model):
+def _scored(known: Broadcast):
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple[float, list[int]]] = {}
-        rows = []
-        for text in batch.column("text").to_pylist():
-            counts = model.counts(text)
-            key = tuple(sorted(counts.items()))
-            if key not in known:
-                known[key] = model.score(counts)
-            rows.append(known[key])
+        model = known.value
+        counts = [model.counts(t) for t in batch.column("text").to_pylist()]
+        keys = [tuple(sorted(c.items())) for c in counts]
+        distinct = dict(zip(keys, counts, strict=True))
+        known_scores = dict(zip(distinct, model.scores(list(distinct.values())), strict=True))
+        rows = [known_scores[k] for k in keys]
         scores = np.array([r[0] for r in rows])
         yield pa.RecordBatch.from_arrays(
             [
@@ -274,7 +325,7 @@ def toxicity(
 
     The score is the share of toxic votes among the NEIGHBOURS nearest examples,
     weighted by distance, together with the prior at PRIOR_MASS. A
-    text without any of the model's words, such as an empty or null one, scores
+    text without any word of the examples, such as an empty or null one, scores
     the toxic rate of such examples. ``evidence`` holds the ids of the three
     nearest examples. Only the text is looked at. An empty table gives no row;
     further columns are ignored.
@@ -285,6 +336,6 @@ def toxicity(
         F.coalesce(docs[text_column].cast("string"), F.lit("")).alias("text"),
     )
     return rows.mapInArrow(
-        per_batch(_scored(model), "text"),
+        per_batch(_scored(docs.sparkSession.sparkContext.broadcast(model)), "text"),
         "doc_id long, held_out boolean, score double, predicted int, evidence array<long>",
     )

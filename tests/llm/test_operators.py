@@ -220,6 +220,38 @@ def test_block_index_equals_brute_force():
         assert np.allclose(cosine, np.sort(every)[::-1][:7]) and np.allclose(every[found], cosine)
 
 
+def test_all_words_and_examples_are_in_the_index(spark, documents):
+    rows = [(i, prose(i, 30) + (" nasty vile" if i % 4 == 0 else "")) for i in range(200)]
+    model = toxicity.fit(documents(*rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    learned = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(model.ids) == [i for i, _ in learned]
+    assert set(model.words) == {w for _, t in learned for w in t.split()}
+    text_of = dict(rows)
+    got = by_id(toxicity.toxicity(documents(*rows, (900, "none of them")), model), "evidence", "score")
+    assert got.pop(900) == ([], model.blank_rate)
+    vectors = {i: dict(zip(*model.vector(model.counts(t)), strict=True)) for i, t in rows}
+    for i in text_of:
+        cosine = {j: sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()) for j, _ in learned}
+        assert np.allclose([cosine[j] for j in got[i][0]], sorted(cosine.values())[::-1][:3])
+
+
+@pytest.mark.parametrize("dense", [0, 20, 512])
+def test_rare_and_frequent_words_together_equal_brute_force(monkeypatch, dense):
+    monkeypatch.setattr(toxicity, "DENSE", dense)
+    r = random.Random(7)
+    words, n = {f"w{i}": i for i in range(400)}, 1000
+    model = toxicity.Model(words, np.linspace(1, 9, 400), 0.1, 0.0, np.arange(n), np.ones(n), np.zeros(n))
+    some = [{int(400 * r.random() ** 3): r.randint(1, 4) for _ in range(r.randint(1, 40))} for _ in range(n)]
+    vectors = [model.vector(c) for c in some]
+    model.index(vectors)
+    matrix = np.zeros((n, 400))
+    for row, (at, x) in zip(matrix, vectors, strict=True):
+        row[at] = x
+    for (at, x), (found, cosine) in zip(vectors[:90], model.nearest_of(vectors[:90], 9), strict=True):
+        every = matrix[:, at] @ x
+        assert np.allclose(cosine, np.sort(every)[::-1][:9]) and np.allclose(every[found], cosine)
+
+
 # --- shingles ------------------------------------------------------------------
 
 
