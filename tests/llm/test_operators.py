@@ -1,10 +1,13 @@
 """Small cases of each operator: nulls, empty and long texts, ties, repeats, clashes."""
 
 import random
+import tracemalloc
 import zlib
+from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from evenframe.llm import chat, exact_dedup, induced, language, line_dedup, packing, pieces, quality
 from evenframe.llm import shingle_join, suffix_dedup, toxicity
@@ -333,6 +336,40 @@ def test_suffix_dedup(documents):
     assert suffix_dedup.suffix_dedup(documents((1, "a")).limit(0)).count() == 0
 
 
+def test_windows_of_a_heavy_token_are_dealt_by_all_their_bytes(documents, monkeypatch):
+    passage = prose(1, 40)
+    rows = [(i, f"{prose(200 + i, 9)} {passage} {prose(400 + i, 9)}") for i in range(60)]
+    data = [t.encode() for _, t in rows]
+    docs = pa.table({"id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    tokens = np.unique(suffix_dedup.window_runs(passage.encode())[2])
+    reply = (tokens << np.uint64(suffix_dedup.LOW) | np.uint64(60)).tobytes()
+
+    def most_of_a_key(heavy):
+        group = suffix_dedup.Contexts(docs, [reply], 50, heavy)
+        windows = {d[f + s : f + s + 50] for d, places in zip(data, group.places) for f, w, _ in places for s in range(w)}
+        assert windows == {c[s : s + 50] for c in group.order for s in range(len(c) - 49)}
+        return Counter(group.token).most_common(1)[0][1]
+
+    assert most_of_a_key(61) > 40 and most_of_a_key(60) == 1
+    monkeypatch.setattr(suffix_dedup, "HEAVY", 10)
+    got = by_id(suffix_dedup.suffix_dedup(documents(*rows)), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == removed_by_hand(rows)
+
+
+def test_span_codes_need_memory_of_a_block(monkeypatch):
+    text = np.random.default_rng(4).integers(1, 5, 1 << 21).astype(np.int16)
+    starts = np.arange(5, len(text) - 1, 997)
+    text[starts[7] : starts[9]] = text[starts[2] : starts[4]]
+    text[starts[9]] = text[starts[4]]
+    tracemalloc.start()
+    codes = induced._span_codes(text, starts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(text)
+    monkeypatch.setattr(induced, "BLOCK", 1 << 22)
+    assert (codes == induced._span_codes(text, starts)).all() and codes[7] == codes[2] and len(set(codes)) > 2000
+
+
 def test_induced_order_spills_and_sorts(tmp_path, monkeypatch):
     monkeypatch.setattr(induced, "HELD", 50)
     monkeypatch.setattr(induced, "BLOCK", 40)
