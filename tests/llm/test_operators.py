@@ -8,6 +8,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import corpus_pipeline
 import pytest
 from evenframe.llm import chat, exact_dedup, induced, language, line_dedup, packing, pieces, quality
 from evenframe.llm import shingle_join, suffix_dedup, toxicity
@@ -423,6 +424,30 @@ def test_viterbi_is_that_of_a_unigram_model(spark):
         assert r["ids"] == r["best"] == pieces.best_path(r["word"], table)
 
 
+# --- pipeline ------------------------------------------------------------------
+
+
+def test_pipeline_stages_keep_what_brute_force_keeps(spark, documents):
+    stages = dict(corpus_pipeline.STAGES)
+    passage = prose(70, 14)
+    rows = [(i, f"{prose(i, 40)} {passage if i % 3 == 0 else ''} {prose(300 + i, 20)}") for i in range(12)]
+    rows += [(20, rows[1][1].upper()), (21, rows[2][1]), (22, rows[4][1] + " tail"), (23, edited(rows[5][1], 1, 2))]
+    kept = stages["exact_dedup"](spark, documents(*rows), "")
+    texts = {}
+    for i, text in rows:
+        texts[lower(text)] = max(i, texts.get(lower(text), i))
+    left = [(i, t) for i, t in rows if texts[lower(t)] == i]
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == left
+    kept = stages["near_dedup"](spark, documents(*left), "")
+    least = components_by_hand(left)
+    near = [(i, t) for i, t in left if least[i][1] == i]
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == near and len(near) < len(left) < len(rows)
+    kept = stages["suffix_dedup"](spark, documents(*near), "")
+    by_hand = removed_by_hand(near)
+    got = {r["doc_id"]: sha256(r["text"].encode()).hexdigest() for r in kept.collect()}
+    assert got == {i: x[3] for i, x in by_hand.items()} and any(x[1] for x in by_hand.values())
+
+
 # --- quality -------------------------------------------------------------------
 
 
