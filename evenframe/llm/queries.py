@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import preference_digests, preference_segments, shortened_answers
 from .common import LOWER, UPPER
 from .exact_dedup import exact_dedup
+from .fingerprints import document_fingerprints
 from .language import language_id
 from .line_dedup import BLANKS, line_dedup
 from .packing import pack
@@ -66,6 +67,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder))
 
 
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return document_fingerprints(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op12_fingerprints": op12_fingerprints,
 }
 
 CONTENT = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
