@@ -18,6 +18,7 @@ from .quality import BITS, FENCE, LEAST_GROUP, METRICS, MIN_WORDS, MOST_REPEATED
 from .shingle_join import shingle_components
 from .suffix_dedup import suffix_dedup
 from .toxicity import fit, toxicity
+from .variants import spelling_variants
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +72,10 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return document_fingerprints(documents(spark, folder))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op12_fingerprints": op12_fingerprints,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 CONTENT = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
