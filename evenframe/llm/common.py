@@ -29,14 +29,14 @@ def texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded bytes, one row at least."""
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy()
         ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:
-            limit = (ends[start - 1] if start else 0) + BATCH_BYTES
+            limit = (ends[start - 1] if start else 0) + most
             stop = max(start + 1, int(np.searchsorted(ends, limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop

@@ -17,6 +17,7 @@ from .pieces import encode
 from .quality import BITS, FENCE, LEAST_GROUP, METRICS, MIN_WORDS, MOST_REPEATED_PERCENT, SYMBOLS, quality_rules
 from .shingle_join import shingle_components
 from .suffix_dedup import suffix_dedup
+from .token_links import token_links
 from .toxicity import fit, toxicity
 from .variants import spelling_variants
 
@@ -68,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(documents(spark, folder))
 
 
+def op11_token_links(spark: SparkSession, folder: str) -> DataFrame:
+    return token_links(documents(spark, folder))
+
+
 def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return document_fingerprints(documents(spark, folder))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_links": op11_token_links,
     "op12_fingerprints": op12_fingerprints,
     "op13_spelling_variants": op13_spelling_variants,
 }
