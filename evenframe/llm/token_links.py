@@ -7,7 +7,7 @@ import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from struct import pack as pack_ids
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +22,7 @@ from .packing import Encoder, _byte_of
 
 SPACE = "▁"
 #: Bytes of text whose documents are merged at once and whose id pairs are counted together.
-BATCH = 8 * 1024**2
-#: Words that a task remembers.
-REMEMBERED = 200_000
+BATCH = 2 * 1024**2
 #: Tokens after which a long document goes on in a lane of its own, and places tried for that.
 LANE, TRIES = 512, 64
 #: Links of a group that are written out one by one; of larger groups equal ones are counted.
@@ -34,8 +32,8 @@ PLAIN = 64
 class Tokenizers:
     """Ids of a byte-level BPE file (A) and of a SentencePiece file (B) for a text after one blank.
 
-    Neither joins a blank to the visible character before it, so words between
-    single blanks are encoded once and remembered.
+    Texts of Latin letters go through tiktoken with the ranks of file A:
+    merging by rank gives the same ids. Others go through ``tokenizers`` itself.
     """
 
     def __init__(self, path_a: str | None = None, path_b: str | None = None):
@@ -57,7 +55,6 @@ class Tokenizers:
         self.size_a, self.size_b = (np.array([*map(len, t)], np.int64) for t in (self.bytes_a, self.bytes_b))
         #: What an id adds to the text of its document's groups, inside and at the end of its side.
         self.names = [f"{i}{end}".encode() for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for i in range(n) for end in ends]
-        self.words: dict[str, tuple[bytes, bytes] | None] = {}
 
     def _spelled(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -66,44 +63,22 @@ class Tokenizers:
             return b""
         return self.b.id_to_piece(i).replace(SPACE, " ").encode()
 
-    def _checked(self, a: bytes, b: bytes, text: str) -> tuple[bytes, bytes] | None:
-        """Both ids if their bytes give the blank and the text."""
-        wanted = b" " + text.encode()
-        sides = ((a, self.bytes_a), (b, self.bytes_b))
-        same = all(b"".join(map(t.__getitem__, np.frombuffer(ids, "<u4").tolist())) == wanted for ids, t in sides)
-        return (a, b) if same else None
-
-    def _whole(self, text: str) -> tuple[bytes, bytes] | None:
+    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of both; None if the bytes of one are not the text's."""
+        whole = " " + text
+        latin = text.isascii() or max(text) < "ɐ"
+        a = self.a.ranked.encode_ordinary(whole) if latin else self.a.library.encode(whole, add_special_tokens=False).ids
         b = self.b.encode(text)
-        return self._checked(self.a.whole(" " + text), pack_ids(f"<{len(b)}I", *b), text)
-
-    def _word(self, word: str) -> tuple[bytes, bytes] | None:
-        b = self.b.encode(word) if word else [self.b.piece_to_id(SPACE)]
-        value = self._checked(self.a.new_word(word), pack_ids(f"<{len(b)}I", *b), word)
-        if len(self.words) < REMEMBERED:
-            self.words[word] = value
-        return value
-
-    def encode(self, text: str) -> tuple[bytes, bytes] | None:
-        """Ids of both, little-endian 32-bit numbers; None if the bytes of one are not the text's."""
-        if "  " in text or text[:1].isspace() or any(s in text for s in self.a.special) or self.a.hint.search(text) and self.a.meeting.search(text):
-            return self._whole(text)
-        found = []
-        for word in text.split(" "):
-            known = self.words.get(word) or self._word(word)
-            if known is None:
-                return self._whole(text)
-            found.append(known)
-        a, b = zip(*found, strict=True)
-        return b"".join(a), b"".join(b)
+        wanted = whole.encode()
+        same = all(b"".join(map(table.__getitem__, ids)) == wanted for ids, table in ((a, self.bytes_a), (b, self.bytes_b)))
+        return (a, b) if same else None
 
 
 def _tokenizers(path_a: str | None, path_b: str | None) -> Tokenizers:
-    """The worker's tokenizers; they outlive tasks, as workers do, remembered words do not."""
+    """The worker's tokenizers; they outlive tasks, as workers do."""
     kept = vars(sys.modules.setdefault("_evenframe_token_links", types.ModuleType("_evenframe_token_links")))
     if (path_a, path_b) not in kept:
         kept[path_a, path_b] = Tokenizers(path_a, path_b)
-    kept[path_a, path_b].words = {}
     return kept[path_a, path_b]
 
 
@@ -160,9 +135,10 @@ class Merged:
     groups: np.ndarray
 
     @staticmethod
-    def of(encoded: list[tuple[bytes, bytes]], tokenizers: Tokenizers) -> Merged:
-        ids = [np.frombuffer(b"".join(side), "<u4").astype(np.int64) for side in zip(*encoded, strict=True)] or [np.zeros(0, np.int64)] * 2
-        first = [np.cumsum([0, *(len(e[k]) // 4 for e in encoded)])[:-1].astype(np.int64) for k in range(2)]
+    def of(encoded: list[tuple[list[int], list[int]]], tokenizers: Tokenizers) -> Merged:
+        first = [np.cumsum([0, *(len(e[k]) for e in encoded)]) for k in range(2)]
+        ids = [np.fromiter(chain.from_iterable(e[k] for e in encoded), np.int64, int(first[k][-1])) for k in range(2)]
+        first = [f[:-1] for f in first]
         # both sides of a document have the same bytes, so the ends of the whole batch can be compared
         ends = np.cumsum(tokenizers.size_a[ids[0]]), np.cumsum(tokenizers.size_b[ids[1]])
         starts = lanes(*ends, *first) if encoded else first
@@ -241,7 +217,7 @@ def _merged(path_a: str | None, path_b: str | None):
                     rows.append((number, doc_id, 0, 0, 0, 0, "", b"", b"", None, None))
                     continue
                 s, e = edges[k], edges[k + 1]
-                sizes = len(both[0]) // 4, len(both[1]) // 4, int(group[k]), int(links[k])
+                sizes = len(both[0]), len(both[1]), int(group[k]), int(links[k])
                 rows.append((number, doc_id, *sizes, spelled[k], place[s:e].tobytes(), times[s:e].tobytes(), None, None))
                 k += 1
             yield _table(rows)
@@ -329,8 +305,7 @@ def aligned(
                     rows.append(([],) * 4)
                     continue
                 first_a, first_b, n_a, n_b = merged.groups[:, edges[k] : edges[k + 1]]
-                ids = (np.frombuffer(side, "<u4").astype(np.int64) for side in both)
-                rows.append((*ids, first_a + n_a - merged.first_a[k], first_b + n_b - merged.first_b[k]))
+                rows.append((*both, first_a + n_a - merged.first_a[k], first_b + n_b - merged.first_b[k]))
                 k += 1
             columns = [pa.array(c, pa.list_(pa.int64())) for c in list(zip(*rows, strict=True)) or [()] * 4]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["doc_id", "ids_a", "ids_b", "stops_a", "stops_b"])
