@@ -67,6 +67,18 @@ def distinct_text(column: Column, data_type: T.DataType) -> Column | None:
     return None
 
 
+def shared_shuffle(df: DataFrame) -> DataFrame:
+    """The same rows; wherever they are used, Spark reads all their columns.
+
+    Two uses of one frame are planned apart. When each needs other columns,
+    each reads and shuffles its own; when both need all of them, the shuffles
+    are equal and the second use takes the output of the first. The condition
+    holds for every row. Columns with maps have no hash and stay apart.
+    """
+    hashed = [named(f.name) for f in df.schema.fields if orderable(f.dataType)]
+    return df.where(F.xxhash64(*hashed) >= F.lit(-(2**63))) if hashed else df
+
+
 def fresh_name(columns: Iterable[str], stem: str) -> str:
     """A name starting with ``stem`` that no column carries yet."""
     taken = {name.lower() for name in columns}

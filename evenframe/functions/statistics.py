@@ -11,8 +11,8 @@ GUARD_DIGITS = 6
 MOST_GUARDED_DIGITS = 9
 PLAIN_DIGITS = 10
 EXACT_UNITS = 2**53  # whole numbers below have no gaps as doubles
-LIMB_DIGITS = 6  # a limb of this width can be added 10^13 times as a bigint
-LIMBS = 4
+PART_BITS = 22  # numbers of so many bits can be added 2^41 times as a bigint
+REST_DIGITS = 24  # digits that are kept of a rest, which is below one unit
 ROUNDING = 2.0**-51  # error of a decimal kept as a double and moved by some digits
 TINY = 1e-18  # doubles below have digits that no limb of a plain sum holds
 
@@ -42,15 +42,16 @@ def _exact_total(column: Column, data_type: T.DataType, scale: int) -> Column:
     """
     if isinstance(data_type, T.BooleanType):
         return F.sum(column.cast("bigint"))
+    if isinstance(data_type, T.LongType):
+        return _whole_total(column)
     if isinstance(data_type, INTEGRAL):
-        return F.sum(column.cast(T.DecimalType(20, 0)))
+        return F.sum(column.cast("bigint")).cast(T.DecimalType(20, 0))
     if isinstance(data_type, T.DecimalType):
         return F.try_sum(column)
     digits = max(scale, min(scale + GUARD_DIGITS, MOST_GUARDED_DIGITS))
     if isinstance(data_type, FLOATING):
         column = column.cast("double")
         total, rest = _floating_total(column, digits), _floating_rest(column, digits)
-        rest = rest * _power(-LIMBS * LIMB_DIGITS, T.DecimalType(24, 24))
         unit = _power(-digits, T.DecimalType(max(digits, 1), digits))
         carried = F.round(rest, 0).cast(T.DecimalType(20, 0)) * unit
     else:
@@ -61,6 +62,23 @@ def _exact_total(column: Column, data_type: T.DataType, scale: int) -> Column:
     )
 
 
+def _whole_total(whole: Column) -> Column:
+    """Sum of bigints as a decimal, from the sums of their three parts.
+
+    Sums of bigints cost a small part of a sum of wide decimals.
+    """
+    mask, base = F.lit(2**PART_BITS - 1), F.lit(2**PART_BITS).cast(T.DecimalType(7, 0))
+    upper, middle, lower = (
+        F.sum(part).cast(T.DecimalType(19, 0))
+        for part in (
+            F.shiftright(whole, 2 * PART_BITS),
+            F.shiftright(whole, PART_BITS).bitwiseAND(mask),
+            whole.bitwiseAND(mask),
+        )
+    )
+    return (upper * base + middle) * base + lower
+
+
 def _power(exponent: int, data_type: T.DecimalType) -> Column:
     return F.lit(f"1e{exponent}").cast(data_type)
 
@@ -74,11 +92,10 @@ def _fits(column: Column, digits: int) -> tuple[Column, Column]:
 def _floating_total(column: Column, digits: int) -> Column:
     """Counts values in whole units of the last digit.
 
-    That is twice as fast as turning each value into a decimal, which only
-    values too big for it take.
+    Only values too big for that are turned into decimals, which is slow.
     """
     units, fits = _fits(column, digits)
-    whole = F.rint(units).cast("bigint").cast(T.DecimalType(20, 0))
+    whole = F.when(fits, F.rint(units).cast("bigint"))
     beyond = F.when(~fits, column)
     exact = beyond.try_cast(T.DecimalType(MAX_PRECISION, digits))
 
@@ -86,7 +103,7 @@ def _floating_total(column: Column, digits: int) -> Column:
     unit = _power(-digits, T.DecimalType(places, digits))
     room = T.DecimalType(MAX_PRECISION - 1 - places, 0)
     same_type = T.DecimalType(MAX_PRECISION - 1, digits)
-    small = F.sum(F.when(fits, whole)).try_cast(room) * unit
+    small = _whole_total(whole).try_cast(room) * unit
     big = F.try_sum(exact)
     both = F.coalesce(small.try_cast(same_type), F.lit(0).cast(same_type)) + big.try_cast(
         same_type
@@ -96,23 +113,17 @@ def _floating_total(column: Column, digits: int) -> Column:
 
 
 def _floating_rest(column: Column, digits: int) -> Column:
-    """What ``_floating_total`` leaves of the values, in units of the last limb.
+    """What ``_floating_total`` leaves of the values, in units, with REST_DIGITS digits.
 
     A rest within the rounding error of its own value is none: 1234.56 is no
     whole number of units as a double, yet has two digits. Sums of such values
-    stay free of that error.
+    stay free of that error, and only the values that have a rest cost a
+    decimal.
     """
     units, fits = _fits(column, digits)
     rest = units - F.rint(units)
     rest = F.when(fits & (F.abs(rest) > F.abs(units) * F.lit(ROUNDING)), rest)
-    total = F.lit(0).cast(T.DecimalType(MAX_PRECISION, 0))
-    base = F.lit(10**LIMB_DIGITS).cast(T.DecimalType(LIMB_DIGITS + 1, 0))
-    for _ in range(LIMBS):
-        rest = rest * F.lit(10.0**LIMB_DIGITS)
-        limb = F.sum(F.rint(rest).cast("bigint"))
-        total = total * base + limb.cast(T.DecimalType(20, 0))
-        rest = rest - F.rint(rest)
-    return total
+    return F.sum(rest.cast(T.DecimalType(REST_DIGITS, REST_DIGITS)))
 
 
 def _text_total(column: Column, digits: int) -> Column:
@@ -124,8 +135,13 @@ def _text_total(column: Column, digits: int) -> Column:
 def _text_rest(column: Column, digits: int) -> Column:
     """What ``digits`` leave of numbers in texts, to the 27th digit after the point.
 
-    Numbers of more than ten digits before the point have 17 after it.
+    Numbers of more than ten digits before the point have 17 after it. Texts
+    with no more than ``digits`` characters after the point, and no exponent,
+    have no rest and are not read again.
     """
+    ends = F.length(column) - F.instr(column, ".")
+    deep = (F.instr(column, ".") > 0) & (ends > digits) | F.contains(F.lower(column), F.lit("e"))
+    column = F.when(deep, column)
     exact = column.try_cast(T.DecimalType(MAX_PRECISION, digits))
     kind = T.DecimalType(MAX_PRECISION - 1, 27)
     wide = T.DecimalType(MAX_PRECISION - 1, 17)
@@ -163,8 +179,7 @@ def plain_sum(column: Column, data_type: T.DataType) -> Column:
         near = F.sum(F.when(tiny, column))
         column = F.when(tiny, F.lit(0.0)).otherwise(column)
         total = _floating_total(column, PLAIN_DIGITS).cast("double")
-        last = 10.0 ** -(PLAIN_DIGITS + LIMBS * LIMB_DIGITS)
-        rest = _floating_rest(column, PLAIN_DIGITS).cast("double") * F.lit(last)
+        rest = _floating_rest(column, PLAIN_DIGITS).cast("double") * F.lit(10.0**-PLAIN_DIGITS)
         none = F.lit(0.0)
         return total + (F.coalesce(rest, none) + F.coalesce(near, none))
     rest = F.coalesce(_text_rest(column, PLAIN_DIGITS).cast("double"), F.lit(0.0))

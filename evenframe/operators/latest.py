@@ -12,6 +12,7 @@ from evenframe.functions.columns import (
     fresh_name,
     named,
     row_tie_break,
+    shared_shuffle,
 )
 from evenframe.operators.numbering import number_rows
 
@@ -19,6 +20,8 @@ from evenframe.operators.numbering import number_rows
 # and no code, comes after them.
 OPERATION_PRIORITY = {"D": 1, "U": 2, "I": 3}
 
+SALTS = 8  # tasks that the tied rows of one key spread over
+
 
 def latest_by(
     df: DataFrame,
@@ -27,10 +30,13 @@ def latest_by(
     ties: str = "one",
     tie_break: Sequence[str] = (),
     keep_rank: str | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Rows with the greatest ``order`` per key, nulls last.
 
-    ``ties="all"`` keeps every row that shares the greatest order.
+    ``ties="all"`` keeps every row that shares the greatest order. Those of one
+    key spread over ``salts`` tasks. With 1 they meet in one, which saves a join
+    where no key has very many.
     ``ties="one"`` keeps one: the greatest by ``tie_break``, then the first by
     the remaining columns. ``keep_rank`` names a column for the number of each
     row within its key and keeps all rows instead.
@@ -43,7 +49,7 @@ def latest_by(
     if ties == "all":
         if keep_rank or tie_break:
             raise ValueError("ties='all' takes neither tie_break nor keep_rank")
-        return _all_latest(df, keys, orders)
+        return _all_latest(df, keys, orders, salts)
     if ties != "one":
         raise ValueError(f"ties must be 'one' or 'all', not {ties!r}")
     breaks = [actual_name(df, t) for t in tie_break]
@@ -102,19 +108,34 @@ def _first_per_key(df: DataFrame, keys: list[str], ranking: list[Column]) -> Dat
     )
 
 
-def _all_latest(df: DataFrame, keys: list[str], orders: list[str]) -> DataFrame:
-    """Rank 1 per key with all ties.
+def _all_latest(df: DataFrame, keys: list[str], orders: list[str], salts: int) -> DataFrame:
+    """Rank 1 per key with all ties, from one read of ``df``.
+
+    Spark turns the filter on the rank into a group limit that runs before the
+    shuffle: a read task sends the rows that share the newest order it saw of a
+    key, so old versions of a hot key never travel.
 
-    The greatest order per key is found by an aggregate, which folds hot keys
-    before the shuffle; a semi join on key and order then keeps the rows. The
-    tied rows of a hot key stay spread: the adaptive skew join splits them,
-    which a window over the key could not.
+    Tied rows of a hot key do. With ``salts`` each read task sends all its
+    rows to one of so many places per key; what is left there is compared with the
+    greatest order per key. Both sides of that comparison read the same
+    shuffle, and the adaptive skew join keeps splitting the tied rows.
     """
+    salt = fresh_name(df.columns, "__salt")
+    rank = fresh_name([*df.columns, salt], "__rank")
+    within = [named(k) for k in keys]
+    if salts > 1:
+        df = df.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(salts)))
+        within.append(named(salt))
+    window = Window.partitionBy(*within).orderBy(*[named(o).desc() for o in orders])
+    first = df.withColumn(rank, F.rank().over(window)).where(named(rank) == 1).drop(rank)
+    if salts <= 1:
+        return first
+    first = shared_shuffle(first)
     newest = F.struct(*[named(o) for o in orders]) if len(orders) > 1 else named(orders[0])
-    greatest = df.groupBy(
+    greatest = first.groupBy(
         *[named(k).alias(f"__k{i}") for i, k in enumerate(keys)]
     ).agg(F.max(newest).alias("__newest"))
     match = newest.eqNullSafe(F.col("__newest"))
     for i, k in enumerate(keys):
         match = match & named(k).eqNullSafe(F.col(f"__k{i}"))
-    return df.join(greatest, match, "left_semi")
+    return first.join(greatest, match, "left_semi").drop(salt)

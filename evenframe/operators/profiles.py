@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenframe.functions import statistics as S
-from evenframe.functions.columns import actual_name, distinct_text, named, one_row
+from evenframe.functions.columns import actual_name, distinct_text, named, one_row, shared_shuffle
 from evenframe.operators import rules as R
 from evenframe.operators.latest import latest_by
 
 COLUMNS_PER_SCAN = 2
 MOST_SCANS = 8
 DISTINCT_COUNTS_TOGETHER = 12
-READ_AS = ("files", "columnar", "computed")
+READ_AS = ("files", "columnar", "computed", "shuffled")
 
 
 def statistics_for(
@@ -64,10 +64,14 @@ def profile(
                   pass reads only its own
     ``computed``  a frame with costly steps before: nothing is read twice as
                   long as there are few distinct counts
+    ``shuffled``  a frame that a shuffle ends in: one pass for all distinct counts,
+                  from the output of that shuffle
     """
     if read_as not in READ_AS:
         raise ValueError(f"read_as must be one of {READ_AS}, not {read_as!r}")
     statistics = statistics_for(dictionary, rules, side)
+    if read_as == "shuffled":
+        df = shared_shuffle(df)
     changed = actual_name(df, change_column or R.CHANGE_COLUMN[rules])
     counts = [s for s in statistics if s.kind == R.COUNT_DISTINCT]
     if read_as == "columnar":
@@ -156,7 +160,7 @@ def profile_table(
         keys = list(latest_keys)
         used = {actual_name(df, c): None for c in [*keys, changed, *fields]}
         df = latest_by(df.select(*[named(c) for c in used]), keys, changed)
-        read_as = "computed"
+        read_as = "shuffled"
     return profile(df, dictionary, rules, side, changed, read_as)
 
 

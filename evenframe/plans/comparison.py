@@ -16,7 +16,7 @@ from evenframe.operators.alignment import (
     align,
     project,
 )
-from evenframe.operators.latest import distinct_key_count, latest_by
+from evenframe.operators.latest import SALTS, distinct_key_count, latest_by
 from evenframe.operators.mismatch import (
     internal_keys,
     mismatching_columns,
@@ -40,10 +40,14 @@ ROW_COUNT = "TOTAL_ROW_COUNT"
 
 @dataclass(frozen=True)
 class LatestBy:
-    """Keep the rows of the greatest ``order`` per key, all ties included."""
+    """Keep the rows of the greatest ``order`` per key, all ties included.
+
+    ``salts`` spreads a key with very many tied rows over so many tasks.
+    """
 
     keys: Sequence[str]
     order: str
+    salts: int = SALTS
 
 
 def compare(
@@ -76,7 +80,7 @@ def compare(
         if latest is not None:
             if columns is not None:
                 actual = project(actual, columns)
-            actual = latest_by(actual, latest.keys, latest.order, ties="all")
+            actual = latest_by(actual, latest.keys, latest.order, ties="all", salts=latest.salts)
         sides = align(expected, actual, columns, by, decimals)
     except StructureError as error:
         return _structure_error(expected, actual, table, mode, keys, str(error), counts)

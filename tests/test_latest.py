@@ -174,3 +174,49 @@ def test_tied_rows_of_a_hot_key_are_split(spark, folder):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def scans(df):
+    """Reads of files in the plan; a shuffle that is used again is not read again."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return text.split("\n(1) ")[0].split("== Initial Plan ==")[0].count("Scan parquet")
+
+
+def hot_rows(spark, folder):
+    made = spark.range(4000).selectExpr(
+        "IF(id % 3 = 0, NULL, id % 50) AS k",
+        "IF(id % 3 = 0, 9, id % 7) AS t",
+        "IF(id % 2 = 0, 0, id) AS v",
+    )
+    made.repartition(16).write.parquet(f"{folder}/hot")
+    return spark.read.parquet(f"{folder}/hot")
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_ties_come_from_one_read(spark, folder, salts):
+    df = hot_rows(spark, folder)
+    got = latest_by(df, ["k"], "t", ties="all", salts=salts)
+    best = {}
+    for k, t, _ in df.collect():
+        best[k] = max(best.get(k, -1), t)
+    assert rows(got) == rows(df.where("false")) + sorted((r for r in rows(df) if r[1] == best[r[0]]), key=repr)
+    assert got.columns == ["k", "t", "v"]
+    got.collect()
+    assert scans(got) == 1
+    both = latest_by(df.union(df), ["k"], ["t", "v"], ties="all", salts=salts)
+    both.collect()
+    assert scans(both) == 2
+
+
+def test_salts_spread_the_tied_rows_of_a_key(spark, folder):
+    df = hot_rows(spark, folder).withColumn("place", F.col("v"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for salts, spread in ((1, False), (4, True)):
+            hot = latest_by(df, ["k"], "t", ties="all", salts=salts).where("k IS NULL")
+            places = hot.groupBy(F.spark_partition_id()).count().count()
+            assert (places > 1) == spread
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -3,8 +3,10 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenframe import profile, profile_table, run_profile_sql
+from evenframe.functions import statistics as S
 from evenframe.functions.statistics import flag_sum, plain_sum
 from evenframe.operators import rules as R
 from evenframe.operators.profiles import statistics_for
@@ -270,3 +272,36 @@ def test_flags_that_are_numbers(spark):
         [("0.5",), ("True",), ("2.0",), ("False",), ("no",), (None,)], "x string"
     )
     assert df.agg(flag_sum(F.col("x"), df.schema["x"].dataType)).first()[0] == 3.5
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("bigint", [2**63 - 1, 2**63 - 1, -(2**63), -1, 5, None]),
+    ("double", [2.0**53 - 1, -(2.0**53) + 1, 1e-20, 0.1, 0.2, -3.75, 1e22, None]),
+    ("int", [2**31 - 1, 2**31 - 1, -7]),
+])
+def test_sums_of_parts_equal_sums_of_decimals(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in values * 3], f"v {kind}")
+    digits = 0 if kind != "double" else 2
+    got = df.agg(S.decimal_sum(df.v, df.schema["v"].dataType, 38, digits)).first()[0]
+    wanted = sum(Decimal(repr(v)) if kind == "double" else Decimal(v) for v in values * 3 if v is not None)
+    assert got == wanted.quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+
+
+def test_sums_take_few_aggregates(spark):
+    df = spark.createDataFrame([(1.5, 2)], "v double, n bigint")
+    plan = df.agg(S.decimal_sum(df.v, T.DoubleType(), 30, 2))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("partial_sum(") + plan.count("partial_try_sum(") == 5
+
+
+def test_profile_of_latest_rows_reads_once_without_copies(spark, folder):
+    spark.range(1000).selectExpr(
+        "id % 100 AS k", "id AS `EDW_MDF_TST`", "CAST(id % 7 AS STRING) AS c", "id / 8 AS q"
+    ).write.parquet(f"{folder}/t")
+    dictionary = erp(spark, ("k", "INT4", 0), ("c", "CHAR", 0), ("q", "QUAN", 2), ("EDW_MDF_TST", "DATS", 0))
+    df = profile_table(spark.read.parquet(f"{folder}/t"), dictionary, latest_keys=["k"])
+    row = df.collect()[0].asDict()
+    assert row["TOTAL_ROW_COUNT"] == 100 and row["COUNT_DISTINCT_c"] == 7
+    assert row["COUNT_DISTINCT_EDW_MDF_TST"] == 100 and row["SUM_k"] == 4950
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    tree = text.split("\n(1) ")[0].split("== Initial Plan ==")[0]
+    assert tree.count("Scan parquet") == 1 and "Expand" not in tree
