@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import sys
 import types
 import zlib
@@ -21,8 +20,6 @@ from .common import each_batch, per_batch, texts
 
 CAPACITY = 2048
 END_ID = 0
-#: Encoded words that a worker process remembers.
-REMEMBERED = 600_000
 #: Fixed value: how byte-level BPE files split text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -34,33 +31,14 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
-class _Remembered(dict):
-    """Values of ``make``, the first REMEMBERED of them kept."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(self) < REMEMBERED:
-            self[key] = value
-        return value
-
-
 class Encoder:
     """Ids of ``tokenizers`` for a byte-level BPE file, at several times its speed.
 
-    No token reaches from a visible character over a single blank, so the text
-    between blanks is encoded once and remembered. New words of Latin letters go
-    through tiktoken with the same ranks: merging by rank gives the same ids.
-    Other words, texts in which white space meets a blank, and texts that hold a
-    special token go through ``tokenizers`` itself.
+    Texts of Latin letters go through tiktoken with the same ranks: merging by
+    rank gives the same ids. Other texts, and those that hold a special token, go
+    through ``tokenizers`` itself. Nothing is remembered between texts.
     """
 
-    hint = re.compile(r"[^\S ] ")
-    meeting = re.compile(r"\s \s")
-
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
@@ -75,25 +53,17 @@ class Encoder:
             if token not in special
         }
         self.ranked = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words = _Remembered(self.new_word)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def new_word(self, word: str) -> bytes:
-        """Ids of a word and the blank before it."""
-        if word.isascii() or max(word) < "ɐ":
-            ids = self.ranked.encode_ordinary(" " + word)
-            return pack_ids(f"<{len(ids)}I", *ids)
-        return self.whole(" " + word)
-
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a text."""
-        blanks_meet = "  " in text or (self.hint.search(text) and self.meeting.search(text))
-        if blanks_meet or any(s in text for s in self.special):
+        latin = text.isascii() or max(text) < "ɐ"
+        if not latin or any(s in text for s in self.special):
             return self.whole(text)
-        first, *rest = text.split(" ")
-        return (self.whole(first) if first else b"") + b"".join(map(self.words.__getitem__, rest))
+        ids = self.ranked.encode_ordinary(text)
+        return pack_ids(f"<{len(ids)}I", *ids)
 
 
 def encoder(path: str | None) -> Encoder:
