@@ -8,13 +8,19 @@ MODES = ("glob", "tree", "dated")
 
 
 def resolve_paths(
-    base: str, table: str, mode: str, day: date | None = None, folder: str = ""
+    base: str,
+    table: str,
+    mode: str,
+    day: date | None = None,
+    folder: str = "",
+    compact: bool = False,
 ) -> str:
     """Path of a table's files below ``base``.
 
     ``glob``   files ``<table>*.csv`` in the table's folder
     ``tree``   the whole tree of the table, as fact tables need
-    ``dated``  the ``yyyy/MM/dd`` folder of one day, as reference tables need
+    ``dated``  the ``yyyy/MM/dd`` folder of one day, as reference tables need;
+               ``yyyyMMdd`` if ``compact``, as result folders are named
 
     ``folder`` names a folder inside the table's, such as a profile area.
     """
@@ -27,7 +33,7 @@ def resolve_paths(
     if mode == "dated":
         if day is None:
             raise ValueError("mode 'dated' needs a day")
-        return f"{root}/{day:%Y/%m/%d}"
+        return f"{root}/{day:%Y%m%d}" if compact else f"{root}/{day:%Y/%m/%d}"
     raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
 

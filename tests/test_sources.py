@@ -123,6 +123,7 @@ def test_paths():
     )
     assert resolve_paths("/b", "T", "tree") == "/b/T"
     assert resolve_paths("/b", "T", "dated", date(2024, 3, 7)) == "/b/T/2024/03/07"
+    assert resolve_paths("/b", "T", "dated", date(2024, 3, 7), compact=True) == "/b/T/20240307"
     with pytest.raises(ValueError):
         resolve_paths("/b", "T", "dated")
     with pytest.raises(ValueError):
