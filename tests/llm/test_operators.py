@@ -347,9 +347,10 @@ def test_windows_of_a_heavy_token_are_dealt_by_all_their_bytes(documents, monkey
 
     def most_of_a_key(heavy):
         group = suffix_dedup.Contexts(docs, [reply], 50, heavy)
-        windows = {d[f + s : f + s + 50] for d, places in zip(data, group.places) for f, w, _ in places for s in range(w)}
+        places = zip(group.text.tolist(), group.first.tolist(), group.windows.tolist())
+        windows = {data[t][f + s : f + s + 50] for t, f, w in places for s in range(w)}
         assert windows == {c[s : s + 50] for c in group.order for s in range(len(c) - 49)}
-        return Counter(group.token).most_common(1)[0][1]
+        return Counter(group.token.tolist()).most_common(1)[0][1]
 
     assert most_of_a_key(61) > 40 and most_of_a_key(60) == 1
     monkeypatch.setattr(suffix_dedup, "HEAVY", 10)
@@ -357,6 +358,36 @@ def test_windows_of_a_heavy_token_are_dealt_by_all_their_bytes(documents, monkey
     assert got == removed_by_hand(rows)
 
 
+def test_runs_of_many_texts_are_those_of_each(monkeypatch):
+    texts = [prose(s, n).encode() for s, n in enumerate([0, 5, 9, 400, 60, 1, 3000, 12, 12])] + [b"=" * 49, b"=" * 50]
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 1000)
+    got = list(zip(*(x.tolist() for x in suffix_dedup.runs_of(texts)), strict=True))
+    each = [(i, *run) for i, t in enumerate(texts) for run in zip(*(x.tolist() for x in suffix_dedup.window_runs(t)), strict=True)]
+    assert sorted(got) == each and {i for i, *_ in got} == {2, 3, 4, 6, 7, 8, 10}
+    assert [len(x) for x in suffix_dedup.runs_of([])] == [0, 0, 0, 0]
+
+
+def test_contexts_have_the_same_numbers_in_any_order_of_rows():
+    texts = [prose(s % 5, 20) for s in range(12)] + ["", prose(1, 20)]
+    rows = list(zip([3, 1, None, 7, 7, 5, 9, 2, 8, 8, 4, 6, 11, None], texts, strict=True))
+    tokens = np.unique(np.concatenate([suffix_dedup.window_runs(t.encode())[2] for _, t in rows]))
+    reply = (tokens << np.uint64(suffix_dedup.LOW) | np.uint64(2)).tobytes()
+
+    def group(rows):
+        docs = pa.table({"id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+        return suffix_dedup.Contexts(docs, [reply], 50, 100)
+
+    one, other = group(rows), group(rows[::-1])
+    assert one.order == other.order and (one.owner == other.owner).all() and (one.token == other.token).all()
+    by_hand = {}
+    for t, f, w, n in zip(one.text.tolist(), one.first.tolist(), one.windows.tolist(), one.number.tolist(), strict=True):
+        context = rows[t][1].encode()[f : f + w + 49]
+        assert one.order[n] == context
+        id_ = suffix_dedup._LEAST if rows[t][0] is None else rows[t][0]
+        by_hand[n] = min(id_, by_hand.get(n, id_))
+    assert one.owner.tolist() == [by_hand[n] for n in range(len(one.order))]
+
+
 def test_span_codes_need_memory_of_a_block(monkeypatch):
     text = np.random.default_rng(4).integers(1, 5, 1 << 21).astype(np.int16)
     starts = np.arange(5, len(text) - 1, 997)
