@@ -19,6 +19,7 @@ from evenframe.operators import (
     map_header,
     project,
 )
+from evenframe.plans.suite import ProfileSpec, profile_suite
 from evenframe.sources import (
     BAR_DOLLAR,
     CRM_SCHEMA,
@@ -29,6 +30,7 @@ from evenframe.sources import (
     load_dictionary,
     read_delimited,
     write_delimited,
+    write_staged,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -452,6 +454,60 @@ def suite_report(spark: SparkSession, folder: str) -> DataFrame:
     return ef.run_suite(spark, specs)
 
 
+def suite_not_found(spark: SparkSession, folder: str) -> DataFrame:
+    """A suite one of whose tables is missing; the message names a path and is left out."""
+    specs = [
+        ef.TableSpec(
+            "orders",
+            lambda: table(spark, folder, "orders"),
+            lambda: changed_orders(spark, folder),
+        ),
+        ef.TableSpec(
+            "missing",
+            lambda: table(spark, folder, "orders"),
+            lambda: table(spark, folder, "no_such_table"),
+        ),
+        ef.TableSpec(
+            "nation",
+            lambda: table(spark, folder, "nation"),
+            lambda: table(spark, folder, "nation"),
+        ),
+    ]
+    return ef.run_suite(spark, specs).drop("Details")
+
+
+# --- map columns ------------------------------------------------------------
+
+
+def order_attributes(orders: DataFrame, *names: str) -> DataFrame:
+    """Orders with the named attributes as a map, in that order, within an array of structs."""
+    entries = [x for n in names for x in (F.lit(n), F.col(f"o_order{n}"))]
+    return orders.select(
+        "o_orderkey",
+        F.create_map(*entries).alias("attributes"),
+        F.array(F.struct(F.create_map(*entries).alias("found"))).alias("nested"),
+    )
+
+
+def attribute_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    expected, actual = table(spark, folder, "orders"), changed_orders(spark, folder)
+    return order_attributes(expected, "status", "priority"), order_attributes(actual, "priority", "status")
+
+
+def compare_maps(spark: SparkSession, folder: str) -> DataFrame:
+    return ef.compare(*attribute_sides(spark, folder), "orders")
+
+
+def diff_map_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ef.diff_rows(ef.align(*attribute_sides(spark, folder), maps="entries"))
+    text = F.transform("attributes", lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("?"))))
+    return rows.select("side", "o_orderkey", F.concat_ws(",", text).alias("attributes"))
+
+
+def mismatching_maps(spark: SparkSession, folder: str) -> DataFrame:
+    return ef.mismatch_counts(ef.align(*attribute_sides(spark, folder), maps="entries"), ["o_orderkey"])
+
+
 # --- latest versions --------------------------------------------------------
 
 
@@ -465,6 +521,15 @@ def latest_cdc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def latest_cdc_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes with the codes D, U and I, and one that has no priority."""
+    changes = table(spark, folder, "events").withColumn(
+        "operation",
+        F.expr("CASE event_type WHEN 'error' THEN 'D' WHEN 'click' THEN 'U' WHEN 'signup' THEN 'I' ELSE 'R' END"),
+    )
+    return ef.latest_cdc(changes, ["user_id"], operation="operation", changed_at="ts")
+
+
 def latest_rank(spark: SparkSession, folder: str) -> DataFrame:
     return ef.latest_by(
         table(spark, folder, "lineitem"), ["l_orderkey"], "l_shipdate", ties="all"
@@ -759,6 +824,42 @@ def compare_files(spark: SparkSession, folder: str) -> DataFrame:
     return ef.compare(orders, files, "orders")
 
 
+def stage_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer files written, read with the file of each row, staged, stored and read back."""
+    path = new_folder(spark, "delivered")
+    delivered = customer_files(spark, folder)
+    for name in ("a", "b"):
+        mine = delivered.where(F.col("filename") == f"{name}.csv").drop("filename")
+        write_delimited(mine, f"{path}/{name}")
+    files = read_delimited(spark, path, with_file=True)
+    files = files.withColumn("filename", F.concat(F.regexp_extract("filename", "/([ab])/[^/]*$", 1), F.lit(".csv")))
+    dictionary = load_dictionary(spark.createDataFrame(STAGING_ROWS, STAGING_SCHEMA), "R_ACC")
+    staged = ef.stage_table(files, map_header(header_frame(files.drop("filename")), dictionary))
+    return write_staged(staged, new_folder(spark, "staged"))
+
+
+def profile_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of two file trees, written by a suite, read back and compared."""
+    path = new_folder(spark, "profiles")
+    sides = {"expected": table(spark, folder, "lineitem"), "actual": changed_lineitem(spark, folder)}
+    for side, rows in sides.items():
+        write_delimited(rows, f"{path}/{side}", sep=TAB)
+    specs = [
+        ProfileSpec(
+            side,
+            lambda side=side, rows=rows: read_delimited(spark, f"{path}/{side}", sep=TAB, schema=rows.schema),
+            erp(spark, "lineitem"),
+            {"change_column": "l_shipdate"},
+        )
+        for side, rows in sides.items()
+    ]
+    written = profile_suite(spark, specs, lambda side: f"{path}/profile-{side}")
+    if written.where("Status != 'Passed'").count():
+        raise RuntimeError(str(written.collect()))
+    expected, actual = (read_delimited(spark, f"{path}/profile-{side}") for side in sides)
+    return ef.compare_profiles(expected, actual, "lineitem")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: two-way comparison of a table with a changed copy."""
     return compare_two_way(spark, SMOKE_DIR)
@@ -780,6 +881,8 @@ def queries() -> dict[str, Query]:
         column_count_check, duplicate_keys, duplicate_keys_text,
         csv_roundtrip, csv_inferred_roundtrip, csv_record_separator_roundtrip,
         tsv_borrowed_roundtrip, compare_files,
+        suite_not_found, compare_maps, diff_map_rows, mismatching_maps,
+        latest_cdc_codes, stage_files, profile_files,
     ]
     named = {query.__name__: query for query in found}
     if llm is not None:
@@ -947,6 +1050,8 @@ def oracle_sql() -> dict[str, str]:
         )
         return f"{text} FROM {source}"
 
+    attributes = "concat('priority=', o_orderpriority, ',status=', coalesce(o_orderstatus, '?'))"
+
     def suite_row(name: str, expected: str, actual: str, n: int) -> str:
         return f"SELECT * FROM ({_two_way_sql(name, expected, actual, n)})"
 
@@ -1179,8 +1284,43 @@ FROM documents GROUP BY lang, text HAVING COUNT(*) > 1""",
         "csv_inferred_roundtrip": "SELECT * FROM part",
         "csv_record_separator_roundtrip": "SELECT * FROM documents",
         "tsv_borrowed_roundtrip": "SELECT * FROM orders",
+        "suite_not_found": f"""
+SELECT * EXCLUDE ("Details") FROM ({suite_row("orders", "SELECT * FROM orders", CHANGED_ORDERS, 6)})
+UNION ALL SELECT 'missing', 'Actual or expected data not found', '-1', '-2', '-5', '-6', '-3', '-4'
+UNION ALL
+SELECT * EXCLUDE ("Details") FROM ({suite_row("nation", "SELECT * FROM nation", "SELECT * FROM nation", 3)})""",
+        "compare_maps": _two_way_sql(
+            "orders",
+            "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
+            f"SELECT o_orderkey, o_orderstatus, o_orderpriority FROM ({CHANGED_ORDERS})",
+            3,
+        ),
+        "diff_map_rows": f"""
+WITH e AS (SELECT o_orderkey, {attributes} AS attributes FROM orders),
+a AS (SELECT o_orderkey, {attributes} AS attributes FROM ({CHANGED_ORDERS}))
+SELECT 'EXPECTED' AS side, * FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM a)
+UNION ALL
+SELECT 'ACTUAL' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM e)""",
+        "mismatching_maps": (
+            f"WITH e AS (SELECT o_orderkey, {attributes} AS pair FROM orders), "
+            f"a AS (SELECT o_orderkey, {attributes} AS pair FROM ({CHANGED_ORDERS})) "
+            + " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, {_keyed_mismatch('pair')} AS mismatching_keys"
+                for c in ("attributes", "nested")
+            )
+        ),
+        "latest_cdc_codes": f"""
+SELECT event_id, ts, user_id, event_type, value, props, operation FROM (
+  SELECT *, ROW_NUMBER() OVER (
+    PARTITION BY user_id ORDER BY CASE operation WHEN 'D' THEN 1 WHEN 'U' THEN 2 WHEN 'I' THEN 3 ELSE 4 END,
+      ts DESC, event_id, event_type, value, props) AS rn
+  FROM (SELECT *, CASE event_type WHEN 'error' THEN 'D' WHEN 'click' THEN 'U' WHEN 'signup' THEN 'I'
+                  ELSE 'R' END AS operation FROM events)) WHERE rn = 1""",
+        "stage_files": f"""
+SELECT * REPLACE (CAST("ACC_NAT" AS VARCHAR) AS "ACC_NAT") FROM ({STAGED_CUSTOMERS})""",
         "compare_files": _two_way_sql("orders", "SELECT * FROM orders", CHANGED_ORDERS, 6),
     }
+    stated["profile_files"] = stated["compare_profiles"]
     if llm is not None:
         stated |= llm.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL:

@@ -13,6 +13,7 @@ from evenframe.functions.columns import actual_name, named
 
 STRUCTURE_ERROR = "File Structure error"
 FLOATING = (T.FloatType, T.DoubleType)
+MAPS = ("native", "entries")
 MAX_PRECISION = 38
 DOUBLE_DIGITS = 15  # decimals of so many digits differ as doubles too
 #: Digits of whole number types.
@@ -44,14 +45,20 @@ def align(
     columns: Sequence[str] | None = None,
     by: str = "position",
     decimals: int | None = None,
+    maps: str = "native",
 ) -> Aligned:
     """Line up both sides, by position or by name.
 
     ``columns`` projects both sides to that list first. ``decimals`` rounds
     floating point columns on both sides. Sides that disagree on the type of a
     column meet at a common time type or a number type that holds both,
-    otherwise at text.
+    otherwise at text. ``maps`` says what becomes of map columns: they stay
+    (``native``), or they are taken as arrays of ``entries`` in the order of
+    their keys, which can be compared and sorted wherever a map cannot. Maps that
+    hold the same entries in another order are equal either way.
     """
+    if maps not in MAPS:
+        raise ValueError(f"maps must be one of {MAPS}, not {maps!r}")
     if by not in ("position", "name"):
         raise ValueError(f"by must be 'position' or 'name', not {by!r}")
     if columns is not None:
@@ -65,6 +72,8 @@ def align(
     shown = list(expected.columns)
     internal = [f"c{i}" for i in range(len(shown))]
     expected, actual = expected.toDF(*internal), actual.toDF(*internal)
+    if maps == "entries":
+        expected, actual = with_map_entries(expected), with_map_entries(actual)
     left, right, notes = [], [], []
     for name, shown_name, e, a in zip(
         internal, shown, expected.schema.fields, actual.schema.fields
@@ -84,6 +93,42 @@ def align(
     return Aligned(expected.select(*left), actual.select(*right), shown, notes)
 
 
+def _holds_map(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _holds_map(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(_holds_map(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, T.MapType)
+
+
+def _map_entries(column: Column, data_type: T.DataType) -> Column:
+    """The value with every map in it, however deep, as entries in the order of their keys."""
+    if not _holds_map(data_type):
+        return column
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(column, lambda x: _map_entries(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        fields = [_map_entries(column.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    entries = F.map_entries(column)
+    if _holds_map(data_type.valueType):
+        entries = F.transform(
+            entries,
+            lambda e: F.struct(
+                e.getField("key").alias("key"),
+                _map_entries(e.getField("value"), data_type.valueType).alias("value"),
+            ),
+        )
+    return F.array_sort(entries)
+
+
+def with_map_entries(df: DataFrame) -> DataFrame:
+    """The frame with its maps, nested ones too, as sorted arrays of entries."""
+    if not _holds_map(df.schema):
+        return df
+    return df.select(*[_map_entries(named(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def _require_equal_names(expected: DataFrame, actual: DataFrame) -> None:
     def names(df: DataFrame) -> list[str]:
         return sorted(c.lower() for c in df.columns)

@@ -81,7 +81,7 @@ def compare(
             if columns is not None:
                 actual = project(actual, columns)
             actual = latest_by(actual, latest.keys, latest.order, ties="all", salts=latest.salts)
-        sides = align(expected, actual, columns, by, decimals)
+        sides = align(expected, actual, columns, by, decimals, maps="entries")
     except StructureError as error:
         return _structure_error(expected, actual, table, mode, keys, str(error), counts)
     if mode == "one_way":
@@ -98,7 +98,7 @@ def compare_totals(
     decimals: int | None = None,
 ) -> DataFrame:
     """The numbers behind a two-way report as one typed row."""
-    sides = align(expected, actual, columns, by, decimals)
+    sides = align(expected, actual, columns, by, decimals, maps="entries")
     return totals(tally(sides), internal_keys(sides, keys))
 
 

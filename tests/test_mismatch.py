@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from conftest import rows
 
-from evenframe.operators import align, mismatch_counts, mismatching_columns
+from evenframe.operators import align, diff_rows, mismatch_counts, mismatching_columns
+from evenframe.plans import compare
 
 SCHEMA = "k int, a string, b double"
 
@@ -76,3 +78,23 @@ def test_nested_and_map_columns(spark):
     sides = align(left, right)
     assert rows(mismatch_counts(sides, ["k"])) == [("l", 1), ("m", 1), ("v", 0)]
     assert mismatching_columns(sides).first()[0] == "m,l"
+
+
+@pytest.mark.parametrize("wrap", ["m", "array(struct(m AS q, k AS z))", "map(k, m)"])
+def test_maps_are_equal_in_any_order_and_at_any_depth(spark, wrap):
+    def side(rows):
+        return spark.sql(f"SELECT * FROM VALUES {rows} t(k, m)").selectExpr("k", f"{wrap} AS m")
+
+    empty = "CAST(map() AS map<string, int>)"
+    expected = side(f"(1, map('a', 1, 'b', null)), (2, map('x', 1)), (3, null), (4, {empty}), (1, map('a', 1, 'b', null))")
+    actual = side(f"(1, map('b', null, 'a', 1)), (2, map('x', 2)), (3, null), (4, {empty}), (1, map('a', 1, 'b', null))")
+    sides = align(expected, actual, maps="entries")
+    assert [tuple(r) for r in mismatch_counts(sides, ["k"]).collect()] == [("m", 1)]
+    assert mismatching_columns(sides).first()[0] == "m"
+    assert sorted((r["side"], r["k"]) for r in diff_rows(sides).collect()) == [("ACTUAL", 2), ("EXPECTED", 2)]
+    report = compare(expected, actual, "t").first()
+    assert report["Expected minus Actual count"] == report["Actual minus Expected count"] == "1"
+    assert compare(expected, expected, "t", mode="one_way").first()["Status"] == "Passed"
+    assert compare(expected, actual, "t", mode="one_way").first()["Mismatching columns"] == "m"
+    with pytest.raises(ValueError):
+        align(expected, actual, maps="text")
