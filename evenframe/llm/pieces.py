@@ -7,8 +7,10 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain, count, islice
 from struct import pack
 
 import numpy as np
@@ -19,14 +21,13 @@ from pyspark.sql import functions as F
 from evenframe.functions.durable import durable
 
 from .common import each_batch, small_batches, texts
+from .lockstep import Folded, Lockstep, ragged
 
 SPACE = "▁"
 #: Words whose lattices are built as tables, the most frequent ones, and their longest length.
 FREQUENT, LONGEST = 50_000, 40
-#: Other words that a worker process remembers.
-REMEMBERED = 400_000
-#: Words up to this length are merged without a heap.
-SHORT = 24
+#: Other words that a worker process remembers, and ids in all; beyond them it begins anew.
+REMEMBERED, REMEMBERED_IDS = 400_000, 8_000_000
 #: Below every path: the score of a character that is no piece.
 UNKNOWN_PENALTY = 10.0
 #: Model types of the file format.
@@ -144,30 +145,9 @@ def best_path(word: str, table: PieceTable) -> list[int]:
     return [i for part in reversed(ids) for i in part]
 
 
-def _merged_short(word: str, table: PieceTable) -> list[int]:
-    """The same as :func:`merged`, looking at all neighbours each time."""
-    parts, get = list(word), table.pieces.get
-    while len(parts) > 1:
-        best, at = None, -1
-        for i, pair in enumerate(map(str.__add__, parts, parts[1:])):
-            found = get(pair)
-            if found is not None and (best is None or found[1] > best):
-                best, at = found[1], i
-        if best is None:
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    ids: list[int] = []
-    for part in parts:
-        found = get(part)
-        ids += [found[0]] if found else _fallback(table, part)
-    return ids
-
-
 def merged(word: str, table: PieceTable) -> list[int]:
     """Merges the neighbours of greatest score, the leftmost of equals, until none is a piece."""
     n = len(word)
-    if n <= SHORT:
-        return _merged_short(word, table)
     right, left = list(range(1, n + 1)), list(range(-1, n - 1))
     stop = list(range(1, n + 1))
     heap: list[tuple[float, int, int]] = []
@@ -286,20 +266,66 @@ def frequent_words(rows: DataFrame, table: PieceTable, most: int = FREQUENT) ->
     return short.orderBy(F.desc("count"), "word").limit(most).select("word")
 
 
-class _Words(dict):
-    """Encoded words: best path and ids. Others are folded where they occur."""
-
-    def __init__(self, known: dict, table: PieceTable):
-        super().__init__(known)
-        self.table, self.room = table, len(known) + REMEMBERED
-
-    def __missing__(self, word: str) -> tuple[bytes, bytes]:
-        best = best_path(word, self.table)
-        ids = merged(word, self.table) if self.table.model_type == BPE else best
-        value = pack(f"<{len(best)}I", *best), pack(f"<{len(ids)}I", *ids)
-        if len(self) < self.room:
-            self[word] = value
-        return value
+class _Runs:
+    """Runs of numbers, one after another, by their own numbers."""
+
+    def __init__(self, runs: Iterable[bytes | list[int]] = (), kind: str = "<u4"):
+        runs = [np.frombuffer(r, kind) if isinstance(r, bytes) else np.array(r, kind) for r in runs]
+        self.sizes = np.array([len(r) for r in runs], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.values = np.concatenate([np.zeros(0, kind), *runs])
+
+    def add(self, n: int, found: Iterable[Folded]) -> None:
+        """``n`` more runs, those of ``found``."""
+        base, end, values = len(self.sizes), len(self.values), [self.values]
+        self.sizes = np.append(self.sizes, np.zeros(n, np.int64))
+        self.starts = np.append(self.starts, np.zeros(n, np.int64))
+        for places, sizes, new in found:
+            self.sizes[base + places], self.starts[base + places] = sizes, end + np.cumsum(sizes) - sizes
+            end += len(new)
+            values.append(new)
+        self.values = np.concatenate(values)
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of these runs, and where each run ends, with a 0 before."""
+        sizes = self.sizes[numbers]
+        return self.values[ragged(self.starts[numbers], sizes)], np.append(0, np.cumsum(sizes))
+
+
+class _Words:
+    """Encoded words: best path and ids. Those not known are folded together where they occur."""
+
+    def __init__(self, known: dict[str, tuple[bytes, bytes]], table: PieceTable):
+        self.known, self.table = known, table
+        self.lockstep = Lockstep(table.pieces, table.unknown_score, lambda c: _fallback(table, c))
+        self.spelled = _Runs(table.spelled, "u1")
+        self._begin()
+
+    def _begin(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        for word in self.known:
+            self.number[word]
+        self.best = _Runs(best for best, _ in self.known.values())
+        self.ids = _Runs(ids for _, ids in self.known.values()) if self.table.model_type == BPE else self.best
+
+    def numbers(self, split: list[list[str]]) -> np.ndarray:
+        """The numbers of all words; ``best`` and ``ids`` then have their runs."""
+        before = len(self.number)
+        if before > len(self.known) + REMEMBERED or len(self.best.values) > REMEMBERED_IDS:
+            self._begin()
+            before = len(self.number)
+        out = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        new = list(islice(self.number, before, None))
+        groups, long = self.lockstep.groups(new, LONGEST), [at for at, w in enumerate(new) if len(w) > LONGEST]
+        self.best.add(len(new), chain(self.lockstep.best(groups), self._alone(new, long, best_path)))
+        if self.ids is not self.best:
+            self.ids.add(len(new), chain(self.lockstep.merged(groups), self._alone(new, long, merged)))
+        return out
+
+    def _alone(self, words: list[str], places: list[int], fold) -> Iterator[Folded]:
+        for at in places:
+            ids = np.array(fold(words[at], self.table), "<u4")
+            yield np.array([at]), np.array([len(ids)]), ids
 
 
 def _kept(name: str, make):
@@ -310,10 +336,13 @@ def _kept(name: str, make):
     return kept.value
 
 
+def _text(spelled: bytes) -> str:
+    return spelled.decode(errors="replace").replace(SPACE, " ").removeprefix(" ")
+
+
 def decoded(ids: np.ndarray, table: PieceTable) -> str:
     """The text that ids spell, without the blank that encoding puts first."""
-    whole = b"".join(map(table.spelled.__getitem__, ids.tolist())).decode(errors="replace")
-    return whole.replace(SPACE, " ").removeprefix(" ")
+    return _text(b"".join(map(table.spelled.__getitem__, ids.tolist())))
 
 
 def _encoded(spread, name: str, digests: bool):
@@ -325,25 +354,38 @@ def _encoded(spread, name: str, digests: bool):
         words, table = _kept(name, make)
         find = re.compile(word_pattern(table)).findall
         for batch in small_batches(batches, "text"):
-            rows = []
-            for text in batch.column("text").to_pylist():
-                found = find(SPACE + text.replace(" ", SPACE)) if text else []
-                both = [words[w] for w in found]
-                best, ids = b"".join([b for b, _ in both]), b"".join([i for _, i in both])
-                if not digests:
-                    rows.append((ids, best))
-                    continue
-                same = decoded(np.frombuffer(ids, "<u4"), table) == text.replace(SPACE, " ")
-                rows.append((len(ids) // 4, zlib.crc32(ids), len(best) // 4, zlib.crc32(best), same))
-            kinds = [pa.int64()] * 4 + [pa.bool_()] if digests else [pa.binary()] * 2
-            names = ["n_ids", "ids_crc32", "n_best", "best_crc32", "round_trip"] if digests else ["ids", "best"]
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], names=["doc_id", *names])
+            given = batch.column("text").to_pylist()
+            split = [find(SPACE + text.replace(" ", SPACE)) if text else [] for text in given]
+            numbers = words.numbers(split)
+            last = np.append(0, np.cumsum([len(found) for found in split]))
+            (best, best_ends), (ids, ends) = words.best.joined(numbers), words.ids.joined(numbers)
+            best_runs, runs = _cut(best, best_ends[last]), _cut(ids, ends[last])
+            if digests:
+                letters, letter_ends = words.spelled.joined(ids)
+                spelled = map(_text, _cut(letters, letter_ends[ends[last]]))
+                same = [s == text.replace(SPACE, " ") for s, text in zip(spelled, given, strict=True)]
+                columns = [f(x) for x in (runs, best_runs) for f in (_sizes, _checksums)] + [pa.array(same, pa.bool_())]
+                names = ["n_ids", "ids_crc32", "n_best", "best_crc32", "round_trip"]
+            else:
+                columns, names = [pa.array(x, pa.binary()) for x in (runs, best_runs)], ["ids", "best"]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["doc_id", *names])
 
     return run
 
 
+def _cut(values: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    blob, ends = values.tobytes(), (ends * values.itemsize).tolist()
+    return [blob[start:end] for start, end in zip(ends, ends[1:], strict=False)]
+
+
+def _sizes(runs: list[bytes]) -> pa.Array:
+    return pa.array([len(r) // 4 for r in runs], pa.int64())
+
+
+def _checksums(runs: list[bytes]) -> pa.Array:
+    return pa.array([zlib.crc32(r) for r in runs], pa.int64())
+
+
 def encode(
     docs: DataFrame,
     table: PieceTable | None = None,
@@ -363,7 +405,9 @@ def encode(
     and spread to the tasks: a bounded number of words of bounded length. Words
     beyond them are folded in the same way where they occur, whatever their
     length, so the documents themselves are not shuffled. So are words with a
-    character that is no piece.
+    character that is no piece. The new words of a batch are folded together,
+    those of one length in step (:mod:`.lockstep`); words longer than LONGEST
+    one by one.
 
     ``digests`` gives sizes, checksums and ``round_trip``, whether decoding gives
     the text back, in place of the numbers. Null and empty texts have no ids.

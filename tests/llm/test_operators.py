@@ -455,6 +455,41 @@ def test_viterbi_is_that_of_a_unigram_model(spark):
         assert r["ids"] == r["best"] == pieces.best_path(r["word"], table)
 
 
+@pytest.mark.parametrize("model_type", [pieces.UNIGRAM, pieces.BPE])
+def test_words_of_a_batch_are_folded_together_as_alone(monkeypatch, model_type):
+    table = pieces.piece_table(model_type=model_type)
+    r = random.Random(3)
+    some = {"".join(r.choice("▁aeinsth.é日🎉\n") for _ in range(r.randint(1, 40))) for _ in range(600)}
+    some |= {c * n for c in "aet▁" for n in range(1, 41)} | {"▁" + w for w in prose(4, 80).split()}
+    some = sorted(some)
+    plain = [(pieces.best_path(w, table), pieces.merged(w, table)) for w in some]
+    alone = []
+    for name in ("best_path", "merged"):
+        fold = getattr(pieces, name)
+        monkeypatch.setattr(pieces, name, lambda w, t, fold=fold: alone.append(w) or fold(w, t))
+    words = pieces._Words({}, table)
+    numbers = words.numbers([some[:300], [], ["x" * 41], some[200:]])
+    assert set(alone) == {"x" * 41} and len(set(numbers.tolist())) == len(some) + 1
+    given = plain[:300] + [(pieces.best_path("x" * 41, table), pieces.merged("x" * 41, table))] + plain[200:]
+    best, ends = words.best.joined(numbers)
+    assert [best[a:b].tolist() for a, b in zip(ends, ends[1:])] == [b for b, _ in given]
+    if model_type == pieces.BPE:
+        ids, ends = words.ids.joined(numbers)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [i for _, i in given]
+
+
+def test_words_beyond_those_remembered_are_folded_again(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    table = pieces.piece_table()
+    words = pieces._Words({"▁the": (b"\1\0\0\0", b"\2\0\0\0")}, table)
+    for split in ([["▁the", "▁house", "▁of"]], [["▁cards", "▁of", "▁the", "▁old"]], [["▁house", "▁the"]], [[]]):
+        numbers = words.numbers(split)
+        ids, ends = words.ids.joined(numbers)
+        wanted = [[2] if w == "▁the" else pieces.merged(w, table) for w in split[0]]
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == wanted
+    assert len(words.number) == len(words.ids.sizes) == 2
+
+
 # --- pipeline ------------------------------------------------------------------
 
 
