@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,16 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def known_counts(texts: list[str], words: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``ends, at, n``: text i has the words ``at[ends[i] : ends[i + 1]]``, in order, ``n`` times each."""
+    found = [words_of(t) for t in texts]
+    sizes, most = np.array([len(f) for f in found], np.int64), max(1, len(words))
+    at = np.fromiter(map(words.get, chain.from_iterable(found), repeat(-1)), np.int64, sizes.sum())
+    key = np.repeat(np.arange(len(texts)), sizes) * most + at
+    key, n = np.unique(key[at >= 0], return_counts=True)
+    return np.searchsorted(key, np.arange(len(texts) + 1) * most), key % most, n
+
+
 def _signatures(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     signatures = []
     for text in batch.column("text").to_pylist():
@@ -84,7 +95,11 @@ class Model:
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         at, n = np.array(list(counts), np.int64), np.array(list(counts.values()), float)
         order = np.argsort(at)
-        at, weight = at[order], (1 + np.log(n[order])) * self.scale[at[order]]
+        return self.weighed(at[order], n[order])
+
+    def weighed(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of words in order that occur ``n`` times each."""
+        weight = (1 + np.log(n)) * self.scale[at]
         return at, weight / np.sqrt((weight**2).sum())
 
     def counts(self, text: str) -> dict[int, int]:
@@ -164,15 +179,15 @@ class Model:
             out.append((hit[order], cosine[order]))
         return out
 
-    def scores(self, texts: list[dict[int, int]]) -> list[tuple[float, list[int]]]:
-        """Share of toxic votes, weighted by distance, and the nearest examples' ids, of each text's counts."""
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        """Share of toxic votes, weighted by distance, and the nearest examples' ids, of each text's words and counts."""
         if not len(self.ids):
             return [(self.blank_rate, [])] * len(texts)
         out: list[tuple[float, list[int]]] = [(self.blank_rate, [])] * len(texts)
-        some = [i for i, counts in enumerate(texts) if counts]
+        some = [i for i, (at, _) in enumerate(texts) if len(at)]
         for start in range(0, len(some), TOGETHER):
             part = some[start : start + TOGETHER]
-            for i, (found, cosine) in zip(part, self.nearest_of([self.vector(texts[i]) for i in part]), strict=True):
+            for i, (found, cosine) in zip(part, self.nearest_of([self.weighed(*texts[i]) for i in part]), strict=True):
                 mass = cosine / (1 - cosine + NEAREST) * self.votes[found]
                 total = mass.sum() + PRIOR_MASS
                 value = (float((mass * self.labels[found]).sum()) + PRIOR_MASS * self.prior) / total
@@ -188,8 +203,8 @@ def _document_counts(known: Broadcast):
         seen, n = np.zeros(len(words), np.int64), 0
         for batch in small_batches(batches, "text"):
             n += batch.num_rows
-            for text in batch.column("text").to_pylist():
-                seen[[words[w] for w in set(words_of(text)) if w in words]] += 1
+            _, at, _ = known_counts(batch.column("text").to_pylist(), words)
+            seen += np.bincount(at, minlength=len(words))
         at = np.flatnonzero(seen)
         columns = [pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(seen[at], n), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["at", "n"])
@@ -298,8 +313,9 @@ def fit(
 def _scored(known: Broadcast):
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         model = known.value
-        counts = [model.counts(t) for t in batch.column("text").to_pylist()]
-        keys = [tuple(sorted(c.items())) for c in counts]
+        ends, at, n = known_counts(batch.column("text").to_pylist(), model.words)
+        counts = [(at[a:b], n[a:b].astype(float)) for a, b in zip(ends, ends[1:], strict=False)]
+        keys = [(at.tobytes(), n.tobytes()) for at, n in counts]
         distinct = dict(zip(keys, counts, strict=True))
         known_scores = dict(zip(distinct, model.scores(list(distinct.values())), strict=True))
         rows = [known_scores[k] for k in keys]

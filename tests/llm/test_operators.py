@@ -256,6 +256,29 @@ def test_rare_and_frequent_words_together_equal_brute_force(monkeypatch, dense):
         assert np.allclose(cosine, np.sort(every)[::-1][:9]) and np.allclose(every[found], cosine)
 
 
+def test_words_of_a_batch_are_counted_together_as_alone(monkeypatch):
+    words = {w: i for i, w in enumerate(sorted(set(prose(3, 40).split())))}
+    texts = [prose(3, 60), "", "none of them", "Nasty " + prose(3, 9).upper(), "", prose(4, 50)]
+    wanted = [Counter(words[w] for w in toxicity.words_of(t) if w in words) for t in texts]
+    ends, at, n = toxicity.known_counts(texts, words)
+    got = [dict(zip(at[a:b].tolist(), n[a:b].tolist(), strict=True)) for a, b in zip(ends, ends[1:])]
+    assert got == wanted and any(got) and all(list(g) == sorted(g) for g in got)
+    assert [x.tolist() for x in toxicity.known_counts(["a b"], {})] == [[0, 0], [], []]
+    assert [x.tolist() for x in toxicity.known_counts([], words)] == [[0], [], []]
+
+    class Known:
+        value = toxicity.Model(words, np.linspace(1, 3, len(words)), 0.1, 0.25, np.arange(2), np.ones(2), np.array([0.0, 1]))
+
+    Known.value.index([Known.value.vector(c) for c in (wanted[0], wanted[5] or wanted[3])])
+    # a text's words are not looked up one text at a time
+    monkeypatch.setattr(toxicity.Model, "counts", None)
+    ids = pa.array(range(len(texts)))
+    batch = pa.record_batch({"id": ids, "held_out": pa.array([False] * len(texts)), "text": texts})
+    (out,) = toxicity._scored(Known)(batch)
+    scores = out.column("score").to_pylist()
+    assert scores[1] == scores[2] == scores[4] == 0.25 and scores[0] != 0.25 and out.column("evidence")[0].as_py()[0] == 0
+
+
 # --- shingles ------------------------------------------------------------------
 
 
