@@ -1,6 +1,8 @@
 """Small cases of each operator: nulls, empty and long texts, ties, repeats, clashes."""
 
+import os
 import random
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -10,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import corpus_pipeline
 import pytest
+from evenframe.functions.durable import FREES, durable
 from evenframe.llm import chat, exact_dedup, induced, language, line_dedup, packing, pieces, quality
 from evenframe.llm import shingle_join, suffix_dedup, toxicity
 from pyspark.sql import functions as F
@@ -319,6 +322,85 @@ def test_shingle_join_loses_no_link(documents, monkeypatch, tile):
     assert got == components_by_hand(rows)
 
 
+def test_shingle_join_compares_all_that_large_families_leave_apart(documents, monkeypatch):
+    monkeypatch.setattr(shingle_join, "TILE", 4)
+    monkeypatch.setattr(shingle_join, "GUESTS", 0)
+    rows, i = [], 0
+    passage = prose(7, 30)
+    for base in range(6):
+        text = f"{prose(base, 40)} {passage}"
+        for copy in range([14, 9, 5, 2, 1, 1][base]):
+            rows.append((i, edited(text, i, copy % 3)))
+            i += 1
+    rows += [(i, rows[0][1]), (i + 1, rows[20][1])]
+    got = by_id(shingle_join.shingle_components(documents(*rows)), "n_shingles", "component_id")
+    assert got == components_by_hand(rows)
+
+
+def test_shingle_join_deals_unequal_labels_to_common_tiles(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "TILE", 4)
+    labels = {1: [7] * 40 + [100 + k for k in range(6)], 2: [8, 8, 9], 3: [k for k in range(10) for _ in range(3)]}
+    rows = [(1000 * f + k, 0, 1.0, label, f) for f, ls in labels.items() for k, label in enumerate(ls)]
+    left = spark.createDataFrame(rows, "id long, row long, weight double, label long, family long")
+    tiles = {}
+    for r in shingle_join._open_tiles(left).collect():
+        for t in r["tiles"]:
+            tiles.setdefault((r["family"], t["number"]), {True: [], False: []})[t["guest"]].append((r["id"], r["label"]))
+    met = set()
+    for tile in tiles.values():
+        met |= {frozenset((a, b)) for a, x in tile[True] or tile[False] for b, y in tile[False] if x != y}
+    wanted = {frozenset((a[0], b[0])) for a in rows for b in rows if a[4] == b[4] and a[3] != b[3]}
+    assert met == wanted
+    guests = Counter(f for (f, _), tile in tiles.items() for _ in tile[True])
+    # only what lies beyond the largest group goes to all 12 and 8 parts
+    assert guests == {1: 6 * 12, 3: 27 * 8}
+
+
+def test_tile_links_of_guests_with_the_others_only():
+    a = np.arange(100, dtype=np.uint64)
+    sets = [a, a[:95], a[:90], a[:85]]
+    guest = np.array([False, False, True, True])
+    pairs = shingle_join.tile_links(sets, np.ones(4), np.array([0, 0, 1, 2]), guest)
+    assert {guest[i] for i, _ in pairs} == {True} and {guest[j] for _, j in pairs} == {False}
+    assert {i for i, _ in pairs} == {2, 3}
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    found = {}
+    for folder in folders:
+        for d, _, names in os.walk(folder.getPath()):
+            found |= {n: os.path.getsize(f"{d}/{n}") for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+    return found
+
+
+def test_shingle_join_leaves_no_shuffled_text_on_disk(spark, documents):
+    docs = documents(*[(i, prose(i // 2, 300)) for i in range(300)]).repartition(4).checkpoint()
+    before = shuffle_files(spark)
+    found = shingle_join.shingle_components(docs)
+    left = 0
+    for _ in range(20):  # files go in the background
+        left = sum(size for name, size in shuffle_files(spark).items() if name not in before)
+        if left < 50_000:
+            break
+        time.sleep(0.5)
+    assert left < 50_000
+    assert found.select("component_id").distinct().count() == 150
+
+
+def test_durable_frees_shuffles_and_keeps_the_setting(spark):
+    df = spark.range(1000).repartition(4)
+    setting = spark.conf.get(FREES, None)
+    before = shuffle_files(spark)
+    stored = durable(df, free=True)
+    for _ in range(20):
+        if not (left := set(shuffle_files(spark)) - set(before)):
+            break
+        time.sleep(0.5)
+    assert not left and stored.count() == 1000 and df.count() == 1000
+    assert spark.conf.get(FREES, None) == setting
+
+
 def test_shingle_join_of_odd_ids_and_nothing(documents):
     rows = shingle_join.shingle_components(documents((None, "a b"), (5, "a b"), (5, "q r"), (6, "q r"))).collect()
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in rows) == [(0, 0), (5, 5), (5, 5), (6, 5)]
