@@ -374,10 +374,11 @@ def shuffle_files(spark):
     return found
 
 
-def test_shingle_join_leaves_no_shuffled_text_on_disk(spark, documents):
+@pytest.mark.parametrize("stage", [False, True])
+def test_shingle_join_leaves_no_shuffled_text_on_disk(spark, documents, stage):
     docs = documents(*[(i, prose(i // 2, 300)) for i in range(300)]).repartition(4).checkpoint()
     before = shuffle_files(spark)
-    found = shingle_join.shingle_components(docs)
+    found = corpus_pipeline.near_copies(spark, docs, "") if stage else shingle_join.shingle_components(docs)
     left = 0
     for _ in range(20):  # files go in the background
         left = sum(size for name, size in shuffle_files(spark).items() if name not in before)
@@ -385,7 +386,7 @@ def test_shingle_join_leaves_no_shuffled_text_on_disk(spark, documents):
             break
         time.sleep(0.5)
     assert left < 50_000
-    assert found.select("component_id").distinct().count() == 150
+    assert found.count() == (150 if stage else 300)
 
 
 def test_durable_frees_shuffles_and_keeps_the_setting(spark):
